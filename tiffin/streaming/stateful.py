@@ -8,30 +8,44 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from tiffin.functions.expr import fraud_severity, normalise_address
 from tiffin.operators.cep import ALPHA, LEAST, SPIKE, _severity
 
 
-def ema_anomalies(counts: DataFrame, key: str, alpha: float = ALPHA, spike: float = SPIKE, least: int = LEAST) -> DataFrame:
-    """The batch rule's alerts over a stream of closed windows; the state of a key is its moving average."""
+class _MovingAverage(StatefulProcessor):
+    """A key's moving average over its closed windows, in order; gives the windows that stand out."""
 
-    def step(k, frames: Iterator[pd.DataFrame], state):
-        base = state.get[0] if state.exists else None
-        rows = pd.concat(list(frames)).sort_values("window_start")
+    def __init__(self, alpha: float, spike: float, least: int):
+        self.alpha, self.spike, self.least = alpha, spike, least
+
+    def init(self, handle) -> None:
+        self.base = handle.getValueState("base", "base double")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803  Spark's names
+        base = self.base.get()[0] if self.base.exists() else None
+        frame = pd.concat(list(rows)).sort_values("window_start")
         out = []
-        for start, end, n in zip(rows["window_start"], rows["window_end"], rows["n"]):
+        for start, end, n in zip(frame["window_start"], frame["window_end"], frame["n"]):
             if base is not None:
                 rate = n / base if base > 0 else float(n)
-                if n >= least and rate >= spike:
-                    out.append((k[0], start, end, n, base, rate))
-            base = float(n) if base is None else alpha * n + (1 - alpha) * base
-        state.update((base,))
-        yield pd.DataFrame(out, columns=["key", "window_start", "window_end", "n", "baseline", "spike_ratio"])
+                if n >= self.least and rate >= self.spike:
+                    out.append((key[0], start, end, n, base, rate))
+            base = float(n) if base is None else self.alpha * n + (1 - self.alpha) * base
+        self.base.update((base,))
+        if out:
+            yield pd.DataFrame(out, columns=["key", "window_start", "window_end", "n", "baseline", "spike_ratio"])
 
+    def close(self) -> None:
+        pass
+
+
+def ema_anomalies(counts: DataFrame, key: str, alpha: float = ALPHA, spike: float = SPIKE, least: int = LEAST) -> DataFrame:
+    """The batch rule's alerts over a stream of closed windows; needs the RocksDB state store."""
     schema = "key string, window_start timestamp, window_end timestamp, n long, baseline double, spike_ratio double"
     rows = counts.withColumn(key, F.col(key).cast("string"))
-    out = rows.groupBy(key).applyInPandasWithState(step, schema, "base double", "append", GroupStateTimeout.NoTimeout)
+    out = rows.groupBy(key).transformWithStateInPandas(_MovingAverage(alpha, spike, least), schema, "Append", "None")
     return out.withColumnRenamed("key", key).withColumn("severity", _severity(F.col("spike_ratio")))
 
 
