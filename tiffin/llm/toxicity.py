@@ -1,12 +1,12 @@
 """Toxicity: a linear classifier of character n-grams scaled by naive Bayes log-count ratios.
 
 Texts are lower-cased; n-grams of 3 to 5 characters are hashed to 2 ** BITS features. From a bounded labelled sample
-come, for each feature, the log ratio of its smoothed document counts in the two classes, and for the features with
-the largest ratios, logistic weights on (share of the text's n-grams) x (ratio). A text's score is the mean of its
-n-grams' products of weight and ratio, mapped by a logistic curve that has the value `cut` where balanced accuracy on
-the sample's calibration part is best. Every text is scored whole, in one pass without a shuffle.
+come, for each feature, the log ratio of its smoothed document counts in the two classes and, for the features whose
+document shares clearly differ, logistic weights on (count over the root of the text's n-gram number) x (ratio). A
+text's score is the sum of these products, mapped by a logistic curve that has the value `cut` where balanced
+accuracy on the sample's calibration part is best. Every text is scored whole, in one pass without a shuffle.
 
-Defined cases: null and empty texts, and texts of fewer than 3 characters, get the score of the mean 0; without both
+Defined cases: null and empty texts, and texts of fewer than 3 characters, get the score of the sum 0; without both
 labels in the sample every score is 0; ids, repeated rows and other columns do not matter.
 """
 
@@ -22,7 +22,7 @@ from ._learn import best_cut, held_out, sigmoid, training_sample
 BITS = 18
 SIZES = (3, 4, 5)
 #: The bounds of the sample and of the features that get weights.
-PER_CLASS, FEATURES = 3000, 1 << 14
+PER_CLASS, FEATURES, LEAST_Z = 3000, 1 << 14, 4.5
 #: Characters scored at once.
 CHARS = 1 << 18
 _A = np.random.default_rng(20240609).integers(0, 1 << 63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -58,8 +58,8 @@ def _runs(texts: list):
         i = j
 
 
-def mean_weights(texts: list[str | None], weights: np.ndarray) -> np.ndarray:
-    """For each text the mean weight of its n-grams."""
+def weigh(texts: list[str | None], weights: np.ndarray) -> np.ndarray:
+    """For each text the sum of its n-grams' weights over the root of their number."""
     out = np.zeros(len(texts))
     for i, j in _runs(texts):
         codes, begin, n = _codes(texts[i:j])
@@ -69,16 +69,16 @@ def mean_weights(texts: list[str | None], weights: np.ndarray) -> np.ndarray:
             many = np.maximum(n - size + 1, 0)
             total += run[begin + many] - run[begin]
             count += many
-        out[i:j] = total / np.maximum(count, 1)
+        out[i:j] = total / np.sqrt(np.maximum(count, 1))
     return out
 
 
 def _counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Features of one text and the share of its n-grams that each has."""
+    """Features of one text, with their numbers over the root of the number of its n-grams."""
     codes, _, n = _codes([text])
     f = np.concatenate([x[: max(n[0] - size + 1, 0)] for size, x in _features(codes)])
     found, many = np.unique(f, return_counts=True)
-    return found, many / max(len(f), 1)
+    return found, many / np.sqrt(max(len(f), 1))
 
 
 class Model:
@@ -88,29 +88,36 @@ class Model:
     def __call__(self, texts: list[str | None]) -> np.ndarray:
         if self.slope == 0:
             return np.zeros(len(texts))
-        return sigmoid(self.slope * (mean_weights(texts, self.weights) - self.at) + np.log(self.cut / (1 - self.cut)))
+        return sigmoid(self.slope * (weigh(texts, self.weights) - self.at) + np.log(self.cut / (1 - self.cut)))
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", cut: float = 0.3, per_class: int = PER_CLASS, **columns: str) -> Model:
     sample = training_sample(docs, labels, label, per_class, **columns).repartition(6, "h")
 
     def tally(batches):
-        docs_with = np.zeros((2, 1 << BITS), np.int32)
+        docs_with, sizes = np.zeros((2, 1 << BITS), np.int32), [0, 0]
         for b in batches:
             for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 docs_with[y][_counts(text)[0]] += 1
-        yield pa.RecordBatch.from_arrays([pa.array([docs_with.tobytes()], pa.binary())], names=["n"])
+                sizes[y] += 1
+        yield pa.RecordBatch.from_arrays([pa.array([docs_with.tobytes()], pa.binary()), pa.array([sizes], pa.list_(pa.int64()))], names=["n", "sizes"])
 
-    n = np.ones((2, 1 << BITS))
-    for row in sample.mapInArrow(tally, "n binary").toLocalIterator():
+    n, sizes = np.ones((2, 1 << BITS)), np.zeros(2)
+    for row in sample.mapInArrow(tally, "n binary, sizes array<long>").toLocalIterator():
         n += np.frombuffer(row[0], np.int32).reshape(2, -1)
-    if (n.max(axis=1) == 1).any():
+        sizes += row[1]
+    if (sizes == 0).any():
         return Model(np.zeros(1 << BITS, np.float32), 0, 0, cut)
     ratio = np.log(n[1] / n[1].sum()) - np.log(n[0] / n[0].sum())
-    ratio[n.sum(axis=0) < 5] = 0
+    # A feature is used if the shares of documents that have it differ clearly between the classes.
+    seen, docs_of = n - 1, sizes
+    p, pooled = seen / docs_of[:, None], seen.sum(axis=0) / docs_of.sum()
+    z = np.abs(p[1] - p[0]) / np.sqrt(pooled * (1 - pooled) * (1 / docs_of).sum() + 1e-12)
+    z[seen.sum(axis=0) < 3] = 0
     chosen = np.zeros(1 << BITS, bool)
-    worth = np.abs(ratio) * np.sqrt(n.sum(axis=0))
-    chosen[np.argsort(-worth, kind="stable")[:FEATURES]] = True
+    best = np.argsort(-z, kind="stable")[:FEATURES]
+    chosen[best[z[best] >= LEAST_Z]] = True
+    ratio[~chosen] = 0
     spread = docs.sparkSession.sparkContext.broadcast(chosen)
 
     def extract(batches):
