@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +23,15 @@ def scratch_folder(spark: SparkSession) -> str:
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the shared folder."""
-    scratch_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage by a table written in the shared folder.
+
+    Unlike checkpoint(), which keeps the plan's size estimate, the table has its true size; over the rounds of a loop
+    the estimates of joins of joins would otherwise grow to numbers of millions of digits. The tables lie in the
+    folder `tables` there and can be removed when the results have been written.
+    """
+    path = f"{scratch_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def sized(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:

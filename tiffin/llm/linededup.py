@@ -24,20 +24,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._arrow import _STEP, mix, powers
+from ._arrow import _STEP, LOWER, mix, powers
 from ._spark import checkpoint, components, repeated_keys, sized
 
 WIDTH, BANDS, ROWS = 8, 12, 4
 BINS = BANDS * ROWS
 MIN_CHARS = 24
-#: Lines that a task remembers; characters hashed at once.
-REMEMBERED, CHARS = 1_000_000, 1 << 18
-_UPPER = {c: c + 32 for c in range(65, 91)}
+#: Lines that a task remembers; characters hashed at once; lines whose shingle sets a task holds.
+REMEMBERED, CHARS, HELD = 1_000_000, 1 << 18, 5_000
+_LOWER = bytes(LOWER)
 
 
 def split_lines(text: str | None) -> list[str]:
     """The lines of a text in the form in which they are compared."""
-    return [x.strip() for x in text.translate(_UPPER).split("\n")] if text else []
+    if not text:
+        return []
+    low = text.lower() if text.isascii() else text.encode("utf-8", "surrogatepass").translate(_LOWER).decode("utf-8", "surrogatepass")
+    return [x.strip() for x in low.split("\n")]
 
 
 def line_id(line: str) -> int:
@@ -109,15 +112,27 @@ def _texts(lines, ids):
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, per_mille: int) -> DataFrame:
+    """Of pairs (a, b) of line ids those whose shingle sets are similar enough."""
+
     def scan(batches):
-        for b in batches:
-            keep = np.zeros(b.num_rows, bool)
-            for i, (x, y) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist())):
-                h, of = _shingles([x, y])
-                p, q = np.unique(h[of == 0]), np.unique(h[of == 1])
-                common = len(np.intersect1d(p, q, assume_unique=True))
-                keep[i] = 1000 * common >= per_mille * (len(p) + len(q) - common)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep))
+        held: dict[int, frozenset] = {}
+
+        def grams(i: int, line: str) -> frozenset:
+            if i not in held:
+                if len(held) >= HELD:
+                    held.clear()
+                held[i] = frozenset(_shingles([line])[0].tolist())
+            return held[i]
+
+        for batch in batches:
+            ids = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            keep = []
+            for (a, b), x, y in zip(ids, batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                p, q = grams(a, x), grams(b, y)
+                least, most = sorted((len(p), len(q)))
+                common = len(p & q) if 1000 * least >= per_mille * most else 0
+                keep.append(1000 * common >= per_mille * (least + most - common))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
     return both.select("a", "b", "x", "y").mapInArrow(scan, "a long, b long")
@@ -131,13 +146,15 @@ def similar_lines(docs: DataFrame, threshold: float = 0.8, text_col: str = "text
     wanted = checkpoint(open_.select("node").distinct())
     texts = _distinct_lines(docs, text_col, _texts, "node long, line string").join(sized(wanted), "node", "left_semi")
     texts = checkpoint(texts.groupBy("node").agg(F.first("line").alias("line")))
-    links, label, done, leaders = None, None, 0, 1
+    links, label, tested, done, leaders = None, None, None, 0, 1
     while not open_.isEmpty():
         lead = open_.where(f"nth > {done} and nth <= {done + leaders}").select("key", F.col("node").alias("leader"), F.col("nth").alias("of"))
         pairs = open_.join(lead, "key").where("nth > of").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
         if label is not None:
             known = label.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-            pairs = pairs.join(known, "a", "left").join(known.toDF("b", "cb"), "b", "left").where("ca is null or cb is null or ca <> cb").select("a", "b")
+            pairs = pairs.join(known, "a", "left").join(known.toDF("b", "cb"), "b", "left").where("ca is null or cb is null or ca <> cb").select("a", "b").join(tested, ["a", "b"], "left_anti")
+        pairs = checkpoint(pairs)
+        tested = pairs if tested is None else tested.union(pairs)
         found = _verified(pairs, texts, per_mille)
         links = checkpoint(found if links is None else links.union(found))
         label = components(links)
