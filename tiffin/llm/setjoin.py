@@ -204,9 +204,13 @@ def similar_components(docs: DataFrame, width: int = 5, threshold: float = 0.8,
     many = member.groupBy("centre", "kind").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     member = checkpoint(member.join(many, ["centre", "kind"]).withColumn("block", F.xxhash64("centre", "kind", F.pmod(F.xxhash64("sid"), F.col("blocks")))))
     mixed = shared.join(member.select("sid", "component"), "sid").groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    open_keys = checkpoint(shared.join(sized(mixed), "key").join(member.select("sid", "component", "block"), "sid"))
-    targets = open_keys.select("key", "block", F.when(F.col("component") != F.col("sid"), F.col("component")).alias("core")).distinct()
-    asked = open_keys.select("key", "sid", "component").join(targets, "key").where("core is null or core <> component").select("sid", "block").distinct()
+    open_keys = shared.join(sized(mixed), "key").join(member.select("sid", "component", "kind", "centre"), "sid")
+    open_keys = checkpoint(open_keys)
+    # Queries meet whole groups first, each once, and then the blocks of those. Of a core and another member, the
+    # latter asks.
+    met = open_keys.select("key", "sid", "component", "kind").join(open_keys.select("key", "centre").distinct(), "key").select("sid", "component", "kind", "centre").distinct()
+    held = checkpoint(member.select("centre", F.col("kind").alias("core"), "block").distinct())
+    asked = met.join(sized(held), "centre").where("core = 0 and kind = 0 or core <> 0 and core <> component").select("sid", "block")
     asked = checkpoint(asked.join(sets.select("sid", "n"), "sid"))
     load = asked.groupBy("block").agg(F.ceil(F.sum("n") / QUERY_TOKENS).cast("int").alias("chunks"))
     queries = asked.join(load, "block").select("block", F.pmod(F.xxhash64("sid"), F.col("chunks")).cast("int").alias("chunk"), "sid").join(sets, "sid")
