@@ -113,7 +113,6 @@ def read_blocks(page: str) -> list[_Block]:
                     break  # an inline end tag closes nothing outside its block
             continue
         if name in RAW:
-            flush() if name != "svg" else None
             end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
             if end or name != "head":
                 at = end.end() if end else n
