@@ -173,3 +173,25 @@ def test_line_dedup_odd_rows(spark):
     line = "this very line is repeated in several documents"
     rows = L.dedup_lines(frame(spark, [line, line, line], [None, 2, 2])).collect()
     assert sorted((r["doc_id"] or 0, r["text"]) for r in rows) == [(0, ""), (2, line), (2, line)]
+
+
+def test_line_dedup_short_lines(spark):
+    short = ["x", "sevench", "eightchr", "share this article now!"]
+    assert [len(x) for x in short] == [1, 7, 8, 23]
+    near = "share this article now!!"  # 16 of 17 shingles in common
+    rows = [(1, "\n".join([*short, "", "only here"])), (2, "\n".join(["", *(x.upper() for x in short), "", "sevenc", "sevencj"])), (3, f" x \n{near}\nx\neightchs"), (4, "aaaaaaaa\naaaaaaaaa")]
+    out = L.dedup_lines(frame(spark, [t for _, t in rows], [i for i, _ in rows])).collect()
+    got = {r["doc_id"]: (r["text"], r["n_lines"], r["n_dropped"]) for r in out}
+    assert got == {1: (rows[0][1], 6, 0), 2: ("\n\nsevenc\nsevencj", 8, 4), 3: ("eightchs", 4, 3), 4: ("aaaaaaaa", 2, 1)}
+
+
+def test_band_keys_of_short_lines():
+    """Pairs of four and five shingles, of similarity 0.8, meet; such that share one shingle of 16 hardly do."""
+    rng = random.Random(12)
+    draw = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    base = [draw(11) for _ in range(1000)]
+    a, b = L.band_keys(base), L.band_keys([x + draw(1) for x in base])
+    assert (a == b).any(axis=1).mean() > 0.985
+    base = [draw(8) for _ in range(1000)]
+    a, b = L.band_keys([x + draw(15) for x in base]), L.band_keys([x + draw(15) for x in base])
+    assert (a == b).any(axis=1).mean() < 0.02

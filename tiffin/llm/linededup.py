@@ -1,18 +1,19 @@
 """Fuzzy line deduplication by MinHash.
 
-Lines are sets of 8-character shingles. One-permutation MinHash signatures with densified bins are banded for high
-recall (a pair of similarity 0.8 is missed with a chance of about 0.2 %); pairs that meet in a band are verified by
-their exact Jaccard similarity; distributed union-find joins verified pairs; of every component, over all documents,
-the first line stays: of the smallest document id, then the smallest line number.
+Lines are sets of 8-character shingles. One-permutation MinHash signatures, whose empty bins take over other bins in an
+order of their own, are banded for high recall (a pair of similarity 0.8 is missed with a chance of about 0.2 %); pairs
+that meet in a band are verified by their exact Jaccard similarity; distributed union-find joins verified pairs; of
+every component, over all documents, the first line stays: of the smallest document id, then the smallest line number.
+Lines too short for a shingle are similar only to equal lines.
 
 Pairs of a band are not listed all at once: the band's first lines are compared with the others, in rounds of 1, 4,
 16, ... leaders, and only bands that still hold several components go on. Every pair of a band is verified or known
 to be connected in the end.
 
-Defined cases: a line is what newlines separate, trimmed and with A-Z lower-cased for comparison; lines of fewer than
-MIN_CHARS characters are always kept; null texts stay null and empty ones empty; a null id comes after all others;
-rows with the same id and text count as one document, so both lose the same lines; other columns stay, but for
-n_lines and n_dropped, which are replaced. Lines are known by 64-bit hashes.
+Defined cases: a line is what newlines separate, trimmed and with A-Z lower-cased for comparison; blank lines are always
+kept; null texts stay null and empty ones empty; a null id comes after all others; rows with the same id and text
+count as one document, so both lose the same lines; other columns stay, but for n_lines and n_dropped, which are
+replaced. Lines are known by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -29,10 +30,13 @@ from ._spark import checkpoint, components, repeated_keys, sized
 
 WIDTH, BANDS, ROWS = 8, 12, 4
 BINS = BANDS * ROWS
-MIN_CHARS = 24
+#: Every line that is not blank takes part.
+MIN_CHARS = 1
 #: Lines that a task remembers; characters hashed at once; lines whose shingle sets a task holds.
 REMEMBERED, CHARS, HELD = 1_000_000, 1 << 18, 5_000
 _LOWER = bytes(LOWER)
+#: For each bin the order in which it asks all bins for a value when it is empty.
+_ASKS = np.argsort(np.random.default_rng(20240609).random((BINS, BINS)), axis=1)
 
 
 def split_lines(text: str | None) -> list[str]:
@@ -69,9 +73,15 @@ def band_keys(lines: list[str]) -> np.ndarray:
     bins = (h >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)
     np.minimum.at(sign, of * BINS + bins.astype(np.int64), h & np.uint64(0xFFFFFFFF))
     sign = sign.reshape(-1, BINS)
-    while (empty := sign == none).any():  # an empty bin borrows from the next one
-        after = np.roll(sign, -1, axis=1)
-        sign = np.where(empty & (after != none), mix(after + np.uint64(1)), sign)
+    have = new = sign
+    left = np.arange(len(lines))  # the lines with empty bins
+    for k in range(BINS):
+        more = (new == none).any(axis=1)
+        left, have, new = left[more], have[more], new[more]
+        if not len(left):
+            break
+        new = np.where(new == none, have[:, _ASKS[:, k]], new)
+        sign[left] = new
     keys = np.zeros((len(lines), BANDS), np.uint64)
     for k in range(ROWS):
         keys += sign[:, k::ROWS] * _STEP[k]
@@ -87,12 +97,12 @@ def _distinct_lines(docs: DataFrame, text_col: str, make, schema: str) -> DataFr
             lines, ids, size = [], [], 0
             for text in b.column(0).to_pylist():
                 for line in split_lines(text):
-                    if len(line) >= MIN_CHARS and (i := line_id(line)) not in seen:
+                    if len(line) >= WIDTH and (i := line_id(line)) not in seen:
                         if len(seen) < REMEMBERED:
                             seen.add(i)
                         lines.append(line)
                         ids.append(i)
-                        size += len(line)
+                        size += len(line) + BINS
                 if size >= CHARS:
                     yield make(lines, ids)
                     lines, ids, size = [], [], 0
