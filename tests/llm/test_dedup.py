@@ -195,3 +195,17 @@ def test_band_keys_of_short_lines():
     base = [draw(8) for _ in range(1000)]
     a, b = L.band_keys([x + draw(15) for x in base]), L.band_keys([x + draw(15) for x in base])
     assert (a == b).any(axis=1).mean() < 0.02
+
+
+def test_line_dedup_broadcast_is_bounded_by_numbers(spark, monkeypatch):
+    seen = {}
+    real = L.sized
+
+    def sized(df, rows=None):
+        if "drop" in df.columns:
+            seen["rows"] = rows
+        return real(df, rows)
+
+    monkeypatch.setattr(L, "sized", sized)
+    out = L.dedup_lines(frame(spark, ["\n".join(["a line that is repeated"] * 9)] * 2)).collect()
+    assert sorted(r["n_dropped"] for r in out) == [8, 9] and seen == {"rows": 17}

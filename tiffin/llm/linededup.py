@@ -201,6 +201,7 @@ def dedup_lines(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id",
     repeated = checkpoint(repeated)
     drop = lines.join(sized(repeated), "class").where(place != F.col("first")).groupBy("doc_key").agg(F.collect_set("no").alias("drop"))
     drop = checkpoint(drop)
+    numbers = drop.agg(F.sum(F.size("drop"))).first()[0] or 0  # what a broadcast would hold, at least a number a row
 
     @F.pandas_udf("string")
     def without(text, drop):
@@ -214,7 +215,7 @@ def dedup_lines(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id",
             out.append(t)
         return pd.Series(out, dtype=object)
 
-    out = docs.withColumn("_doc_key", doc_key).join(sized(drop).toDF("_doc_key", "_drop"), "_doc_key", "left")
+    out = docs.withColumn("_doc_key", doc_key).join(sized(drop, numbers).toDF("_doc_key", "_drop"), "_doc_key", "left")
     n_lines = F.when(F.length(text_col) > 0, F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("\n"), F.lit(""))) + 1).otherwise(0).cast("long")
     out = out.withColumns({"n_lines": n_lines, "n_dropped": F.coalesce(F.size("_drop"), F.lit(0)).cast("long")})
     return out.withColumn(text_col, without(text_col, "_drop")).select(*docs.columns, "n_lines", "n_dropped")
