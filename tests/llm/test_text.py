@@ -194,3 +194,15 @@ def test_classifiers(spark, module, label, apply):
     none = apply(docs, module.train(docs, labels.limit(0))).select("score").distinct().collect()
     assert len(none) == 1 and 0 <= none[0][0] <= 1
     assert apply(docs.limit(0), model).collect() == []
+
+
+@pytest.mark.parametrize("block", [3, 100_000])
+def test_token_counts_of_texts_with_special_tokens(spark, block):
+    from tokenizers import Tokenizer
+
+    lib = Tokenizer.from_file(word_vocabulary())
+    texts = ["one", ODD[2], "<|endoftext|>", "two words", None, "the end"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    blocks = tokencount.token_files(docs, word_vocabulary(), END_OF_DOCUMENT, block)
+    got = sorted(tuple(r) for r in tokencount.count_tokens(blocks, END_OF_DOCUMENT).select("doc_id", "n_tokens").collect())
+    assert got == [(i, len(lib.encode(t or "", add_special_tokens=False).ids)) for i, t in enumerate(texts)]

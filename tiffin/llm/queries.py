@@ -16,7 +16,8 @@ from .sharding import hilbert_shards
 from .tokencount import count_tokens, token_files
 from .toxicity import op2
 
-END_OF_DOCUMENT = 49407
+#: Outside the vocabulary, whose ids end at 49407: texts can hold special tokens.
+END_OF_DOCUMENT = 65535
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:

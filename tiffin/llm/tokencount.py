@@ -27,13 +27,15 @@ def token_files(docs: DataFrame, path: str, eod: int, block: int = BLOCK, id_col
     """Encode texts into token files, one for each partition: rows (file, block, tokens, doc_ids).
 
     `tokens` are little-endian 16-bit ids; `doc_ids` lists the documents that end in the block, as a writer's log
-    would, and is not used to find boundaries.
+    would, and is not used to find boundaries. `eod` must not be an id of the vocabulary.
     """
     shared = vocabulary(docs, path)
     names = ["block", "tokens", "doc_ids"]
 
     def write(batches):
         bpe, no, have, size, ids, ends, at = tokenizer(shared.value), 0, [], 0, [], [], 0
+        if eod in bpe.token:
+            raise ValueError(f"the end-of-document id {eod} is a token")
         closing = np.array([eod], np.uint16).tobytes()
 
         def cut(everything: bool):
