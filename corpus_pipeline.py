@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiffin.llm import quality as _quality
-from tiffin.llm._spark import scratch_folder
+from tiffin.llm._spark import checkpoint, scratch_folder, sized
 from tiffin.llm.bpe import bpe_encode
 from tiffin.llm.decontaminate import decontaminate
 from tiffin.llm.linededup import dedup_lines
@@ -34,10 +34,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones: the one with the smallest id. Null ids stay."""
-    groups = similar_components(docs, width=5, threshold=0.8)
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of similar ones: the one with the smallest id, null ids last. Texts without words stay.
+
+    Rows are named by a hash of id and text; of rows with the same name, the smallest stays.
+    """
+    keyed = docs.withColumn("_key", F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.lit("|"), "text"))
+    groups = checkpoint(similar_components(keyed, width=5, threshold=0.8, id_col="_key").withColumnRenamed("doc_id", "_key"))
+    named = groups.where("n_shingles > 0").groupBy("_key").agg(F.min("component_id").alias("component"), F.count("*").alias("_rows"))
+    place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "_key", "_rows")
+    first = keyed.select("_key", "doc_id").join(sized(checkpoint(named)), "_key").groupBy("component").agg(F.min(place).alias("first"))
+    wordless = groups.where("n_shingles = 0").select("_key", F.lit(1).cast("long").alias("_rows")).distinct()
+    kept = keyed.join(sized(checkpoint(first.select("first._key", "first._rows").union(wordless))), "_key")
+    repeated = kept.where("_rows > 1").groupBy("_key").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return kept.where("_rows = 1").select(*docs.columns).union(repeated)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

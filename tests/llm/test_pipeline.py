@@ -34,3 +34,11 @@ def test_stages(spark, tmp_path):
     counts = [seen[n].count() for n, _ in P.STAGES]
     assert counts == sorted(counts, reverse=True) and counts[-1] > 0
     assert set(seen["bpe_encoding"].columns) == {"doc_id", "source", "n_tokens", "ids", "ids_sha256", "decoded_sha256"}
+
+
+def test_copies_within_an_id(spark):
+    same, other = "a b c d e f g h", "other words that stand alone here today"
+    rows = [(None, same, 1), (5, same, 2), (5, same, 2), (5, other, 3), (None, "only null ids have this text now", 4), (None, "only null ids have this text now", 4), (3, "A B C D E F G H", 5), (7, "", 6), (7, "", 6), (None, None, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    got = sorted((tuple(r) for r in P.ngram_jaccard_join(spark, docs, DATA).collect()), key=repr)
+    assert got == sorted([rows[3], rows[4], *rows[6:]], key=repr)
