@@ -206,3 +206,21 @@ def test_token_counts_of_texts_with_special_tokens(spark, block):
     blocks = tokencount.token_files(docs, word_vocabulary(), END_OF_DOCUMENT, block)
     got = sorted(tuple(r) for r in tokencount.count_tokens(blocks, END_OF_DOCUMENT).select("doc_id", "n_tokens").collect())
     assert got == [(i, len(lib.encode(t or "", add_special_tokens=False).ids)) for i, t in enumerate(texts)]
+
+
+LONG = "This is real text of an article that goes on for long enough to be content, and for a few words more."
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f"<main><p>{LONG}<svg class='i'/></p><p>{LONG}</p><svg><title>t</title><text>drawn</text></svg><p>{LONG}</p></main>", [LONG] * 3),
+        (f"<main><div><video src=a></div><p>{LONG}</p><object><p>{LONG}</p></main>", [LONG] * 2),
+        (f"<main><p>{LONG} <video><p>no <b>player</video> {LONG}</p></main>", [f"{LONG} {LONG}"]),
+        (f"<iframe src='x'/><main><p>{LONG}</p></main><iframe>rest {LONG}", [LONG]),
+        (f"<html class='no-cookie'><body class='has-sidebar'><div><p>{LONG}</p></div></body></html>", [LONG]),
+        (f"<body><main class='search'><p>{LONG}</p></main><div class='post share'><p>{LONG}</p></div><div class='share'><p>{LONG}</p></div></body>", [LONG] * 2),
+    ],
+)
+def test_html_drops_nothing_else(page, want):
+    assert htmlextract.main_text(page) == "\n\n".join(want)

@@ -21,7 +21,11 @@ from pyspark.sql import functions as F
 
 # Element names of HTML and the words of class and id attributes that mark boilerplate or content.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template svg math object canvas audio video head".split())
+RAW = frozenset("script style textarea title iframe".split())
+#: Elements whose text is not shown, read as a subtree up to their end tag; without one they hide nothing.
+VEILED = frozenset("noscript template svg math object canvas audio video".split())
+#: Elements that hold the page or its main text; no word marks all of that as boilerplate.
+WHOLE = frozenset("html body main article".split())
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form"
     " h1 h2 h3 h4 h5 h6 header hgroup hr html label legend li main menu nav ol optgroup option p pre section select summary table tbody"
@@ -42,6 +46,7 @@ BOILERPLATE_WORDS = frozenset(
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*>""", re.S)
 _HINT = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_UNQUOTED_SLASH = re.compile(r"""=\s*[^\s"']+/\Z""")
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]+|[A-Z]+(?![a-z])")
 
 #: The classifier's weights and the smoothness of ties between neighbours and between siblings.
@@ -49,16 +54,22 @@ IN_BOILERPLATE, MARKED, IN_CONTENT, HIDDEN, LINKED, BASE = -6.0, -6.0, 3.5, -9.0
 NEIGHBOUR, SIBLING = 0.4, 0.6
 
 
-def _leaning(attributes: str) -> float:
+def _leaning(name: str, attributes: str) -> float:
     """What the class, id and role of an element say."""
     if _HIDDEN.search(attributes):
         return HIDDEN
     words = {w.lower() for _, v in _HINT.findall(attributes) for w in _WORD.findall(v)}
-    if words & BOILERPLATE_WORDS:
-        return MARKED
+    if words & BOILERPLATE_WORDS and name not in WHOLE:
+        return 0.0 if words & CONTENT_WORDS else MARKED
     return 1.5 if words & CONTENT_WORDS else 0.0
 
 
+def _closed(attributes: str) -> bool:
+    """Whether a tag ends in a slash that is no part of an unquoted value."""
+    attributes = attributes.rstrip()
+    return attributes.endswith("/") and not _UNQUOTED_SLASH.search(attributes)
+
+
 class _Block:
     __slots__ = ("text", "linked", "score", "parent", "name")
 
@@ -73,6 +84,13 @@ def read_blocks(page: str) -> list[_Block]:
     stack: list[tuple[str, float, int, bool]] = [("", 0.0, 0, False)]
     parts: list[tuple[str, bool]] = []
     number, at, n = 0, 0, len(page)
+    veil = 0  # place in the stack of the outermost veiled element
+    ends: dict[str, int] = {}  # where the last end tag of a name begins
+
+    def ends_later(name: str) -> bool:
+        if name not in ends:
+            ends[name] = max([m.start() for m in re.finditer(rf"</{name}\s*>", page, re.I)], default=-1)
+        return ends[name] >= at
 
     def flush() -> None:
         if parts:
@@ -91,7 +109,7 @@ def read_blocks(page: str) -> list[_Block]:
     while at < n:
         found = _TAG.search(page, at)
         text = page[at : found.start()] if found else page[at:]
-        if text:
+        if text and not veil:
             parts.append((text, stack[-1][3]))
         if not found:
             break
@@ -101,28 +119,44 @@ def read_blocks(page: str) -> list[_Block]:
             continue
         name = name.lower()
         if closing:
-            if name in BLOCK:
+            if name in BLOCK and not veil:
                 flush()
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == name:
-                    if any(stack[j][0] in BLOCK for j in range(k, len(stack))) or stack[k][1] != stack[k - 1][1]:
+                    if not 0 < veil <= k and (any(stack[j][0] in BLOCK for j in range(k, len(stack))) or stack[k][1] != stack[k - 1][1]):
                         flush()
                     del stack[k:]
+                    veil = veil if veil < k else 0
                     break
-                if name not in BLOCK and stack[k][0] in BLOCK:
+                if name not in BLOCK and name not in VEILED and stack[k][0] in BLOCK:
                     break  # an inline end tag closes nothing outside its block
             continue
         if name in RAW:
-            end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-            if end or name != "head":
+            if not _closed(attributes):
+                end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
                 at = end.end() if end else n
             parts.append((" ", False))
             continue
+        if name == "head" and not veil:
+            end = None if _closed(attributes) else re.compile(r"</head\s*>", re.I).search(page, at)
+            at = end.end() if end else at
+            parts.append((" ", False))
+            continue
+        if name in VEILED:
+            parts.append((" ", False))
+            if not _closed(attributes) and ends_later(name):
+                veil = veil or len(stack)
+                stack.append((name, *stack[-1][1:]))
+            continue
+        if veil:
+            if name not in VOID and not attributes.rstrip().endswith("/"):
+                stack.append((name, *stack[-1][1:]))
+            continue
         if name in VOID:
             flush() if name == "hr" else parts.append((" ", stack[-1][3]))
             continue
         block = name in BLOCK
-        lean = _leaning(attributes) if attributes else 0.0
+        lean = _leaning(name, attributes) if attributes else 0.0
         if block or lean < 0:
             flush()
         if block:
