@@ -40,6 +40,18 @@ def sized(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -
     return F.broadcast(df) if rows <= limit else df
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as keep it apart from the columns of `df`."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name = f"_{name}"
+        taken.add(name)
+        out.append(name)
+    return out
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -47,57 +59,64 @@ def partitions(spark: SparkSession) -> int:
 def repeated_keys(df: DataFrame, key: str, node: str) -> DataFrame:
     """Distinct rows (key, node) of the keys that at least two nodes have.
 
-    One shuffle on the key; each task streams its sorted rows and holds one Arrow batch and one row more,
-    so a key of any size passes through in bounded memory.
+    One shuffle on the key; each task streams its rows sorted by key and holds one Arrow batch and one row more,
+    so a key of any size passes through in bounded memory. The sort is by the key alone, which Spark does by radix;
+    what comes twice is few and goes in the end.
     """
     schema = pa.schema([("key", pa.int64()), ("node", pa.int64())])
 
     def scan(batches):
-        held = None  # the last row, not yet known to be alone: key, node, already given out
+        held = None  # of the open key: key, its first node, whether another was met
         for batch in batches:
             k, v = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             if not len(k):
                 continue
-            given = False
             if held is not None:
-                k, v, given = np.append(held[0], k), np.append(held[1], v), held[2]
-            fresh = np.ones(len(k), bool)
-            fresh[1:] = (k[1:] != k[:-1]) | (v[1:] != v[:-1])
-            k, v = k[fresh], v[fresh]
-            out = np.zeros(len(k), bool)
-            same = k[1:] == k[:-1]
-            out[1:] |= same
-            out[:-1] |= same
-            held = (k[-1], v[-1], bool(out[-1]) or (given and len(k) == 1))
-            if given:
-                out[0] = False
+                k, v = np.append(held[0], k), np.append(held[1], v)
+            begin = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
+            size = np.diff(np.append(begin, len(k)))
+            other = np.add.reduceat(v != np.repeat(v[begin], size), begin) > 0
+            if held is not None and held[2]:
+                other[0] = True
+            out = np.repeat(other, size)
+            if held is not None and held[2]:
+                out[0] = False  # given out before
+            held = (k[begin[-1]], v[begin[-1]], bool(other[-1]))
+            out &= np.concatenate(([True], (k[1:] != k[:-1]) | (v[1:] != v[:-1])))
             if out.any():
                 yield pa.RecordBatch.from_arrays([pa.array(k[out]), pa.array(v[out])], schema=schema)
 
     rows = df.select(F.col(key).alias("key"), F.col(node).alias("node")).repartition(partitions(df.sparkSession), "key")
-    return rows.sortWithinPartitions("key", "node").mapInArrow(scan, "key long, node long")
+    return rows.sortWithinPartitions("key").mapInArrow(scan, "key long, node long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges (a, b): rows (node, component), the component being its smallest node.
 
-    Union-find by contraction: every node points at its smallest neighbour, pointers are followed one step
-    further, and the edges between different roots remain. The graph shrinks by a factor in each round; only
-    counts reach the driver. Nodes without an edge are not in the result.
+    Randomised contraction: in each round nodes get a fresh random order, every node is merged into the first of its
+    neighbours and itself, and that one again into its own first; the edges between what is left remain. In any graph
+    the expected number of nodes that still have edges falls by a constant factor, so there are O(log n) rounds, also
+    for chains; only counts reach the driver. Nodes without an edge are not in the result.
     """
+    spark = edges.sparkSession
     left = checkpoint(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    label = None
+    label, rounds = None, 0
     while not left.isEmpty():
-        both = left.select(F.col("a").alias("node"), F.col("b").alias("to")).union(left.select("b", "a"))
-        parent = checkpoint(both.groupBy("node").agg(F.min("to").alias("to")).select("node", F.least("node", "to").alias("to")))
-        hop = parent.select(F.col("node").alias("to"), F.col("to").alias("root"))
-        parent = checkpoint(parent.join(hop, "to").select("node", "root"))
-        few = sized(parent)
+        rank = lambda c: F.xxhash64(c, F.lit(rounds))  # noqa: B023, E731
+        both = left.select(F.col("a").alias("node"), F.col("b").alias("to")).union(left.select("b", "a")).withColumn("r", rank("to"))
+        first = both.groupBy("node").agg(F.min("r").alias("r"), F.min_by("to", "r").alias("to"))
+        first = first.select("node", F.when(F.col("r") < rank("node"), F.col("to")).otherwise(F.col("node")).alias("to"))
+        hop = checkpoint(first.join(first.select(F.col("node").alias("to"), F.col("to").alias("root")), "to").select("node", "root"))
+        few = sized(hop)
         if label is None:
-            label = parent.select("node", F.col("root").alias("component"))
+            label = hop.select("node", F.col("root").alias("at"))
         else:
-            label = label.join(few.select(F.col("node").alias("component"), "root"), "component", "left")
-            label = checkpoint(label.select("node", F.coalesce("root", "component").alias("component")))
+            label = label.join(few.select(F.col("node").alias("at"), "root"), "at", "left")
+            label = checkpoint(label.select("node", F.coalesce("root", "at").alias("at")))
         left = left.join(few.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a").join(few.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b")
         left = checkpoint(left.where("ra <> rb").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
-    return edges.sparkSession.createDataFrame([], "node long, component long") if label is None else label
+        rounds += 1
+    if label is None:
+        return spark.createDataFrame([], "node long, component long")
+    least = label.groupBy("at").agg(F.min("node").alias("component"))
+    return label.join(sized(checkpoint(least)), "at").select("node", "component")
