@@ -22,6 +22,21 @@ def unwrap(envelopes: DataFrame, exclude: tuple[str, ...] = ()) -> DataFrame:
     return envelopes.select(*row, F.try_element_at(code, F.col("op")).alias("op_type"), F.timestamp_millis("ts_ms").alias("changed_at"), (F.col("op") == "d").alias("__deleted"))
 
 
+def change_rows(envelopes: DataFrame, time: str, now: str, exclude: tuple[str, ...] = ()) -> DataFrame:
+    """Unwrapped rows with processing_time (a given instant) and dt, the date of the row's own time column."""
+    rows = unwrap(envelopes, exclude)
+    return rows.withColumns({"processing_time": F.lit(now).cast("timestamp"), "dt": F.date_format(time, "yyyy-MM-dd")})
+
+
+def merge_late(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """`target` with the rows of `source`: a row of equal keys takes its place, others are added.
+
+    Keys may be several columns, such as id, date and city; rows of `source` must not repeat them. One shuffle.
+    """
+    both = target.withColumn("_new", F.lit(0)).unionByName(source.select(*target.columns).withColumn("_new", F.lit(1)))
+    return latest_by_key(both, keys, ["_new"]).select(*target.columns)
+
+
 def apply_changes(target: DataFrame, changes: DataFrame, keys: list[str], order: list[str], op: str = "op_type") -> DataFrame:
     """`target` after the changes: the latest row of each key wins, and a latest DELETE removes it.
 
@@ -53,6 +68,25 @@ def flatten_change_records(records: DataFrame) -> DataFrame:
     )
 
 
+#: The columns of the four projections of change records, with their types.
+PROJECTIONS = {
+    "user-sessions": {"user_id": "string", "session_id": "string", "device_type": "string", "app_version": "string", "pages_viewed": "int", "actions_count": "int", "city": "string", "started_at": "string", "ended_at": "string", "is_active": "boolean", "session_duration_secs": "bigint"},
+    "delivery-tracking": {"delivery_id": "string", "order_id": "string", "partner_id": "string", "latitude": "double", "longitude": "double", "status": "string", "estimated_arrival": "string", "distance_km": "double", "last_updated": "string"},
+    "restaurant-inventory": {"restaurant_id": "string", "item_id": "string", "item_name": "string", "is_available": "boolean", "stock_count": "int", "preparation_time_mins": "int", "last_updated": "string"},
+    "user-preferences": {"user_id": "string", "preferred_cuisines": "string", "dietary_filters": "string", "favorite_restaurants": "string", "price_range": "string", "notifications_enabled": "boolean", "last_updated": "string"},
+}
+#: What names a row of each projection.
+PROJECTION_KEYS = {"user-sessions": ["session_id"], "delivery-tracking": ["delivery_id"], "restaurant-inventory": ["restaurant_id", "item_id"], "user-preferences": ["user_id"]}
+
+
+def latest_projection(flat: DataFrame, table: str) -> DataFrame:
+    """The typed rows of one of PROJECTIONS, the latest of each key by time and sequence number."""
+    rows = project_records(flat, table, PROJECTIONS[table])
+    rows = rows.withColumn("_length", F.length("sequence_number"))
+    last = latest_by_key(rows, PROJECTION_KEYS[table], ["event_time", "_length", "sequence_number"])
+    return last.select(F.col("event_name").alias("cdc_operation"), *PROJECTIONS[table], "event_time", "dt", "hour")
+
+
 def latest_records(flat: DataFrame, key: str) -> DataFrame:
     """The latest flat record of each value of data[key]: by time, then by sequence number, longer numbers larger."""
     rows = flat.withColumns({"_key": F.col("data")[key], "_length": F.length("sequence_number")})

@@ -76,16 +76,19 @@ def ema_anomalies(counts: DataFrame, key: str, alpha: float = ALPHA, spike: floa
     rows = rows.repartition("key").sortWithinPartitions("key", "window_start")
 
     def scan(batches):
-        now, base = None, 0.0
+        now, base = None, 0.0  # the key of the batch before and its average
         for b in batches:
-            bases = []
-            for k, n in zip(b["key"], b["n"]):
-                if k != now:
-                    now, seen, base = k, None, n
-                else:
-                    seen, base = base, alpha * n + (1 - alpha) * base
-                bases.append(seen)
-            yield b.assign(baseline=pd.Series(bases, index=b.index, dtype="float64"))
+            if not len(b):
+                continue
+            key, n = b["key"].fillna("\0"), b["n"]
+            goes_on = key.iloc[0] == now
+            # A key that goes on starts from its average: in front of the batch, it is the first value of that key.
+            if goes_on:
+                key, n = pd.concat([pd.Series([now]), key]), pd.concat([pd.Series([base]), n])
+            average = n.groupby(key.to_numpy(), sort=False).ewm(alpha=alpha, adjust=False).mean().to_numpy()
+            before = pd.Series(average).shift().where((key == key.shift()).to_numpy())
+            now, base = key.iloc[-1], average[-1]
+            yield b.assign(baseline=before.to_numpy()[int(goes_on) :])
 
     rows = rows.mapInPandas(scan, "key string, window_start timestamp, window_end timestamp, n double, baseline double").where("baseline is not null and not isnan(baseline)")
     rate = F.when(F.col("baseline") > 0, F.col("n") / F.col("baseline")).otherwise(F.col("n"))

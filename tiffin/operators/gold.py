@@ -21,10 +21,16 @@ def _percentile(value: str, p: float, exact: bool) -> Column:
     return F.percentile(c, F.lit(p)) if exact else F.percentile_approx(c, F.lit(p), F.lit(10_000))
 
 
-def daily_order_metrics(curated: DataFrame, exact_percentiles: bool = False) -> DataFrame:
+def _distinct(value: Column, exact: bool) -> Column:
+    return F.count_distinct(value) if exact else F.theta_sketch_estimate(F.theta_sketch_agg(value, 14))
+
+
+def daily_order_metrics(curated: DataFrame, exact_percentiles: bool = False, exact_distinct: bool = False) -> DataFrame:
     """Metrics by order date, city, zone and weekend flag, in one aggregation.
 
-    Percentiles are approximate by default, as a mergeable sketch; exact ones hold a group's values in memory.
+    Percentiles are approximate by default, as a mergeable sketch; exact ones hold a group's values in memory. Distinct
+    counts come from theta sketches, which are exact below 2 ** 14 in a group; exact ones repeat every row for each of
+    them.
     """
     p = exact_percentiles
     counts = {
@@ -63,7 +69,7 @@ def daily_order_metrics(curated: DataFrame, exact_percentiles: bool = False) ->
         F.avg((F.unix_timestamp("order_picked_up_at") - F.unix_timestamp("order_accepted_at")) / 60.0).alias("avg_accept_to_pickup_min"),
         F.avg((F.unix_timestamp("order_delivered_at") - F.unix_timestamp("order_picked_up_at")) / 60.0).alias("avg_pickup_to_deliver_min"),
         F.avg("order_rating").alias("avg_order_rating"),
-        *(F.count_distinct(c).alias(n) for n, c in distinct.items()),
+        *(_distinct(c, exact_distinct).alias(n) for n, c in distinct.items()),
     )
     return day.withColumns(
         {
@@ -129,6 +135,113 @@ def delivery_metrics(curated: DataFrame, exact_percentiles: bool = False) -> Dat
     return out.withColumns({"completion_rate": ratio("completed_deliveries", "total_deliveries"), "sla_breach_rate": ratio("sla_breach_count", "completed_deliveries"), "avg_deliveries_per_rider": ratio("completed_deliveries", "total_active_riders"), "avg_cost_per_delivery": ratio("total_delivery_cost", "completed_deliveries")})
 
 
+def delivery_stages(curated: DataFrame) -> DataFrame:
+    """Hourly stage times, distances, rider supply, cancellations and breaches by cause, by date, hour, city and zone.
+
+    A breach lies with the restaurant if the order waited longer to be picked up than it was under way, else with the
+    rider. A rider is batched in an hour with more than one order. `curated` has delivery_distance_km.
+    """
+    keys = ["metric_date", "metric_hour", "city_id", "zone_id"]
+    minutes = lambda a, b: (F.unix_timestamp(b) - F.unix_timestamp(a)) / 60.0
+    rows = curated.withColumns({"metric_date": F.col("order_date"), "metric_hour": F.col("order_hour"), "waited": minutes("order_accepted_at", "order_picked_up_at"), "moved": minutes("order_picked_up_at", "order_delivered_at")})
+    by_rider = rows.groupBy(*keys, "rider_id").agg(
+        F.count("*").alias("n"),
+        _if("is_completed").alias("done"),
+        F.sum(minutes("order_placed_at", "order_accepted_at")).alias("accept"),
+        F.count(minutes("order_placed_at", "order_accepted_at")).alias("accepts"),
+        *(F.sum(c).alias(c) for c in ("waited", "moved")),
+        *(F.count(c).alias(f"{c}_n") for c in ("waited", "moved")),
+        F.sum("delivery_distance_km").alias("km"),
+        F.count("delivery_distance_km").alias("km_n"),
+        _if("sla_breach and waited > moved").alias("by_restaurant"),
+        _if("sla_breach and not coalesce(waited > moved, false)").alias("by_rider"),
+        _if("is_cancelled and order_accepted_at is not null").alias("cancelled_accepted"),
+        _if("is_cancelled and order_picked_up_at is not null").alias("cancelled_picked"),
+        F.count("order_rating").alias("rated"),
+    )
+    rider = F.col("rider_id").isNotNull()
+    out = by_rider.groupBy(*keys).agg(
+        F.sum("n").alias("total_deliveries"),
+        F.sum("accept").alias("a"),
+        F.sum("accepts").alias("an"),
+        *(F.sum(c).alias(c) for c in ("waited", "waited_n", "moved", "moved_n", "km", "km_n")),
+        F.sum("by_restaurant").alias("sla_breach_by_restaurant"),
+        F.sum("by_rider").alias("sla_breach_by_rider"),
+        F.sum("cancelled_accepted").alias("cancel_after_accept"),
+        F.sum("cancelled_picked").alias("cancel_after_pickup"),
+        F.sum("rated").alias("deliveries_with_rating"),
+        F.count_if(rider).alias("total_active_riders"),
+        F.count_if(rider & (F.col("done") > 0)).alias("riders_on_delivery"),
+        F.count_if(rider & (F.col("n") > 1)).alias("riders_with_multi_order"),
+        F.sum(F.when(rider & (F.col("n") > 1), F.col("n")).otherwise(0)).alias("batched_orders"),
+    )
+    made = {
+        "avg_accept_time": ratio("a", "an"),
+        "avg_pickup_time": ratio("waited", "waited_n"),
+        "avg_transit_time": ratio("moved", "moved_n"),
+        "avg_delivery_distance_km": ratio("km", "km_n"),
+        "total_distance_covered_km": F.col("km").cast("double"),
+        "avg_distance_per_rider_km": ratio("km", "total_active_riders"),
+        "rider_utilization_rate": ratio("riders_on_delivery", "total_active_riders"),
+        "batch_rate": ratio("batched_orders", "total_deliveries"),
+        "avg_batch_size": ratio("batched_orders", "riders_with_multi_order"),
+    }
+    return out.withColumns(made).drop("a", "an", "waited", "waited_n", "moved", "moved_n", "km", "km_n")
+
+
+def restaurant_details(curated: DataFrame, exact_percentiles: bool = False) -> DataFrame:
+    """Daily money, times, customers, ratings and cancellations by restaurant, with its rank by rating in the city.
+
+    A customer is new on the day of the first order, and repeats otherwise.
+    """
+    ready = (F.unix_timestamp("order_picked_up_at") - F.unix_timestamp("order_accepted_at")) / 60.0
+    rows = curated.withColumns({"metric_date": F.col("order_date"), "preparation": ready})
+    out = rows.groupBy("restaurant_id", "metric_date", "city_id").agg(
+        _if("is_cancelled").alias("cancelled_orders"),
+        F.sum("restaurant_payout").cast("decimal(14,2)").alias("net_revenue_to_restaurant"),
+        F.sum("platform_commission").cast("decimal(14,2)").alias("platform_commission_paid"),
+        F.sum("discount_amount").cast("decimal(14,2)").alias("total_discounts"),
+        F.sum("item_count").alias("total_items_sold"),
+        F.avg("preparation").alias("avg_preparation_time_min"),
+        *(_percentile("preparation", q, exact_percentiles).alias(f"{n}_preparation_time_min") for n, q in (("median", 0.5), ("p90", 0.9))),
+        F.avg("actual_delivery_min").alias("avg_delivery_time_min"),
+        F.avg(F.unix_timestamp("order_accepted_at") - F.unix_timestamp("order_placed_at")).alias("avg_accept_time_sec"),
+        _distinct(F.col("customer_id"), False).alias("unique_customers"),
+        _distinct(_pick("is_first_order", "customer_id"), False).alias("new_customers"),
+        _distinct(_pick("not is_first_order", "customer_id"), False).alias("repeat_customers"),
+        F.avg("order_rating").alias("avg_order_rating"),
+        F.count("order_rating").alias("total_ratings"),
+        _if("order_rating = 5").alias("five_star_count"),
+        _if("order_rating = 1").alias("one_star_count"),
+        _if("order_rating <= 2").alias("negative_review_count"),
+        *(_if(f"cancellation_source = '{c}'").alias(f"cancelled_by_{c}") for c in ("customer", "restaurant", "rider", "system")),
+    )
+    rank = F.rank().over(Window.partitionBy("metric_date", "city_id").orderBy(F.col("avg_order_rating").desc_nulls_last()))
+    return out.withColumns({"repeat_customer_rate": ratio("repeat_customers", "unique_customers"), "city_rank_by_rating": rank})
+
+
+def promo_rates(curated: DataFrame, distribution: DataFrame) -> DataFrame:
+    """By coupon code its way from impression to completed order, with rates, costs and use per customer.
+
+    `distribution` has coupon_code, total_impressions, total_distributed and total_applied; a code that only one side
+    has keeps nulls for the other.
+    """
+    used = curated.where("coupon_code is not null and is_completed").groupBy("coupon_code", "customer_id")
+    used = used.agg(F.count("*").alias("n"), F.sum("total_amount").alias("g"), F.sum("discount_amount").alias("d"), F.max("is_first_order").alias("new"), F.sum(_pick("is_first_order", "discount_amount")).alias("nd"))
+    out = used.groupBy("coupon_code").agg(F.sum("n").alias("total_redeemed"), F.sum("g").cast("decimal(16,2)").alias("total_gmv"), F.sum("d").cast("decimal(16,2)").alias("total_discount_cost"), F.count("*").alias("unique_users_redeemed"), _if("new").alias("new_users_acquired"), F.sum("nd").alias("nd"))
+    out = distribution.join(out, "coupon_code", "full")
+    made = {
+        "apply_rate": ratio("total_applied", "total_distributed"),
+        "redemption_rate": ratio("total_redeemed", "total_distributed"),
+        "conversion_rate": ratio("total_redeemed", "total_applied"),
+        "avg_discount_per_order": ratio("total_discount_cost", "total_redeemed"),
+        "discount_as_pct_of_gmv": ratio("total_discount_cost", "total_gmv") * 100,
+        "customer_acquisition_cost": ratio("nd", "new_users_acquired"),
+        "avg_uses_per_user": ratio("total_redeemed", "unique_users_redeemed"),
+    }
+    return out.withColumns(made).drop("nd")
+
+
 def restaurant_performance(curated: DataFrame) -> DataFrame:
     """Daily metrics by restaurant, its most ordered first item, and its ranks in city and zone by value and orders."""
     keys = ["restaurant_id", "metric_date", "city_id", "zone_id"]
@@ -151,28 +264,37 @@ def restaurant_performance(curated: DataFrame) -> DataFrame:
     return out.withColumns({"avg_order_value": ratio("gross_merchandise_value", "total_orders"), "completion_rate": ratio("completed_orders", "total_orders"), "sla_breach_rate": ratio("sla_breach_count", "completed_orders")})
 
 
-def user_cohorts(curated: DataFrame, as_of: str) -> DataFrame:
-    """One row per customer as of a date: cohort, activity by month since the first order, value, recency, favourites."""
-    day = F.lit(as_of).cast("date")
-    rows = curated.where(F.col("order_date") <= day)
-    first = rows.groupBy("customer_id").agg(F.min("order_date").alias("first_order_date"))
+def user_cohorts(curated: DataFrame, as_of: str | list[str]) -> DataFrame:
+    """One row per customer as of a date, or of each of some dates: cohort, activity by month, value, recency, favourites.
+
+    Orders are aggregated once, by customer, restaurant, cuisine and date; all else are windows and one aggregation
+    over that on one partitioning by customer.
+    """
+    days = [as_of] if isinstance(as_of, str) else as_of
+    day = F.col("snapshot_date")
+    base = curated.where(F.col("order_date") <= F.lit(max(days)).cast("date")).groupBy("customer_id", "restaurant_id", "cuisine_primary", "order_date")
+    base = base.agg(F.count("*").alias("n"), F.sum("total_amount").alias("gmv"), F.max("is_pro_member").alias("pro"), F.max("user_segment").alias("segment"))
+    rows = base.withColumn("snapshot_date", F.explode(F.array(*(F.lit(d).cast("date") for d in days)))).where(F.col("order_date") <= day)
+    keys = ["snapshot_date", "customer_id"]
+    rows = rows.withColumn("first_order_date", F.min("order_date").over(Window.partitionBy(*keys)))
+    rows = rows.withColumn("of_restaurant", F.sum("n").over(Window.partitionBy(*keys, "restaurant_id")))
+    rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy(*keys, "restaurant_id").orderBy("order_date", "cuisine_primary")))
+    rows = rows.withColumn("of_cuisine", F.sum("n").over(Window.partitionBy(*keys, "cuisine_primary")))
     month = F.floor(F.months_between(F.date_trunc("month", "order_date"), F.date_trunc("month", "first_order_date"))).cast("int")
-    rows = rows.join(first, "customer_id").withColumn("month_no", month)
-    shares = rows.groupBy("customer_id", "restaurant_id").agg(F.count("*").alias("n"))
-    shares = shares.groupBy("customer_id").agg(F.sum(F.col("n") * F.col("n")).alias("squares"), F.sum("n").alias("all"), F.count("*").alias("distinct_restaurants"))
-    favourite = rows.groupBy("customer_id", "cuisine_primary").agg(F.count("*").alias("n")).groupBy("customer_id").agg(F.max_by("cuisine_primary", F.struct("n", "cuisine_primary")).alias("preferred_cuisine"))
-    out = rows.groupBy("customer_id", "first_order_date").agg(
+    out = rows.withColumn("month_no", month).groupBy(*keys, "first_order_date").agg(
         *(F.max(F.col("month_no") == m).alias(f"has_order_m{m}") for m in (0, 1, 2, 3, 6, 12)),
-        F.count("*").alias("lifetime_order_count"),
-        F.sum("total_amount").alias("lifetime_gmv"),
+        F.sum("n").alias("lifetime_order_count"),
+        F.sum("gmv").cast("decimal(22,2)").alias("lifetime_gmv"),
         F.max("order_date").alias("last_order_date"),
-        F.max("is_pro_member").alias("is_pro_member"),
-        F.max("user_segment").alias("user_segment"),
+        F.max("pro").alias("is_pro_member"),
+        F.max("segment").alias("user_segment"),
+        F.sum(F.col("n") * F.col("of_restaurant")).alias("squares"),  # the squares of restaurants' counts, row by row
+        F.count_if(F.col("nth") == 1).alias("distinct_restaurants"),
+        F.max_by("cuisine_primary", F.struct("of_cuisine", "cuisine_primary")).alias("preferred_cuisine"),
     )
-    out = out.join(shares, "customer_id").join(favourite, "customer_id")
-    idle = F.datediff(day, F.col("last_order_date"))
-    stage = F.when(idle > 180, "churned").when(idle > 60, "dormant").when(F.col("lifetime_order_count") == 1, "new").otherwise("active")
-    return out.withColumns({"cohort_month": F.date_format("first_order_date", "yyyy-MM"), "days_since_last_order": idle, "lifecycle_stage": stage, "avg_order_value": ratio("lifetime_gmv", "lifetime_order_count"), "restaurant_concentration": F.col("squares") / (F.col("all") * F.col("all")), "snapshot_date": day}).drop("squares", "all")
+    idle, total = F.datediff(day, F.col("last_order_date")), F.col("lifetime_order_count")
+    stage = F.when(idle > 180, "churned").when(idle > 60, "dormant").when(total == 1, "new").otherwise("active")
+    return out.withColumns({"cohort_month": F.date_format("first_order_date", "yyyy-MM"), "days_since_last_order": idle, "lifecycle_stage": stage, "avg_order_value": ratio("lifetime_gmv", "lifetime_order_count"), "restaurant_concentration": F.col("squares") / (total * total)}).drop("squares")
 
 
 def user_activity(curated: DataFrame) -> DataFrame:

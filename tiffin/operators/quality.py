@@ -12,10 +12,12 @@ from pyspark.sql import types as T
 TRANSITIONS = {
     "PLACED": ["CONFIRMED", "CANCELLED"],
     "CONFIRMED": ["PREPARING", "CANCELLED"],
-    "PREPARING": ["READY", "CANCELLED"],
+    "PREPARING": ["READY"],
     "READY": ["PICKED_UP"],
     "PICKED_UP": ["DELIVERING"],
     "DELIVERING": ["DELIVERED"],
+    "DELIVERED": [],
+    "CANCELLED": [],
 }
 
 
@@ -85,6 +87,60 @@ def referential_gaps(df: DataFrame, key: str, parent: DataFrame, parent_key: str
     return df.where(F.col(key).isNotNull()).join(parent.select(F.col(parent_key).alias(key)), key, "left_anti")
 
 
+def freshness_lag(df: DataFrame, ts: str, now: str, keys: list[str] = [], limit_seconds: float = 300) -> DataFrame:  # noqa: B006
+    """By key (or over all) the newest event, how many seconds it lies before `now`, and whether that is within the limit."""
+    newest = df.groupBy(*keys).agg(F.max(ts).cast("timestamp").alias("newest"))
+    lag = F.unix_timestamp(F.lit(now).cast("timestamp")) - F.unix_timestamp("newest")
+    return newest.withColumn("lag_seconds", lag).withColumn("passed", F.coalesce(F.col("lag_seconds") <= limit_seconds, F.lit(False)))
+
+
+def partition_completeness(files: DataFrame, partition: Column, least_files: int = 1, least_bytes: int = 1, extensions: tuple[str, ...] = ()) -> DataFrame:
+    """Of files (path, length; see sources.readers.list_files): by partition their number, bytes and whether both suffice.
+
+    Files of other extensions than the named ones do not count; a partition all of whose files are such stays, with 0.
+    """
+    counts = F.lit(True)
+    if extensions:
+        counts = F.lit(False)
+        for e in extensions:
+            counts = counts | F.col("path").endswith(e)
+    out = files.groupBy(partition.alias("partition")).agg(F.count_if(counts).alias("file_count"), F.coalesce(F.sum(F.when(counts, F.col("length"))), F.lit(0)).alias("total_bytes"))
+    return out.withColumn("passed", (F.col("file_count") >= least_files) & (F.col("total_bytes") >= least_bytes))
+
+
+def order_rules() -> dict[str, Column]:
+    """The business rules of order records, for rule_failures; e-mail and telephone are rules of form."""
+    c = F.col
+    return {
+        "total_positive": c("total_amount") > 0,
+        "subtotal_below_total": c("subtotal_amount") <= c("total_amount"),
+        "amounts_add_up": F.abs(c("subtotal_amount") + c("tax_amount") + c("delivery_fee") - c("total_amount")) <= F.lit("0.01").cast("decimal(12,2)"),
+        "discount_not_negative": c("discount_amount") >= 0,
+        "items_present": c("item_count") > 0,
+    }
+
+
+def value_rules(email: str, phone: str, latitude: str, longitude: str, rating: str, prep_minutes: str, start: str, end: str, used: str, allowed: str) -> dict[str, Column]:
+    """Rules of form and range over named columns: contacts, places, ratings, preparation, validity and use."""
+    c = F.col
+    return {
+        "email_form": c(email).rlike(r"^[^@\s]+@[^@\s]+\.[^@\s]+$"),
+        "phone_form": c(phone).rlike(r"^\+?[0-9][0-9 -]{6,14}[0-9]$"),
+        "latitude_range": c(latitude).between(-90, 90),
+        "longitude_range": c(longitude).between(-180, 180),
+        "rating_range": c(rating).between(0, 5),
+        "preparation_range": c(prep_minutes).between(1, 120),
+        "validity_order": c(start) < c(end),
+        "usage_bounded": c(used) <= c(allowed),
+    }
+
+
+def dead_letter_growth(letters: DataFrame, ts: str, limit: int = 1000, bucket: str = "30 minutes") -> DataFrame:
+    """Dead letters by time bucket, and whether more came than the limit."""
+    out = letters.groupBy(F.window(ts, bucket)["start"].alias("bucket")).agg(F.count("*").alias("n"))
+    return out.withColumn("alert", F.col("n") > limit)
+
+
 def throughput_drops(events: DataFrame, ts: str, share: float = 0.1, bucket: str = "5 minutes", past: int = 12) -> DataFrame:
     """Buckets with events in which the count is under `share` of the mean of the `past` buckets before."""
     counts = events.groupBy(F.window(ts, bucket)["start"].alias("bucket")).agg(F.count("*").alias("n"))

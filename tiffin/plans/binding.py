@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-AS_OF = "2001-06-30"
+AS_OF = "2001-06-28"
 EVENTS_AS_OF = "2024-01-28"
 
 

@@ -30,9 +30,7 @@ def order_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat = flatten_events(B.app_events(spark, sf_dir).withColumn("k", F.try_element_at("properties", F.lit("k"))))
-    keyed = B.app_events(spark, sf_dir).select("event_id", F.try_element_at("properties", F.lit("k")).alias("k"), F.try_element_at("device", F.lit("app_version")).alias("app_version"))
-    rows = flat.join(keyed, "event_id")
+    rows = flatten_events(B.app_events(spark, sf_dir), {"k": ("properties", "k"), "app_version": ("device", "app_version")})
     return rollup(rows, "event_timestamp", ["event_type", "city", "platform", "app_version", "k"], sums={"amount": "total_amount"}, thetas={"users": "user_id", "sessions": "session_id"}, hlls={"users_hll": "user_id"})
 
 

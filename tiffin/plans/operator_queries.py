@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tiffin.functions import expr as X
 from tiffin.operators import cdc, cep
 from tiffin.operators import curated as C
 from tiffin.operators import quality as Q
+from tiffin.operators.joins import not_in
 from tiffin.plans import binding as B
 from tiffin.plans.olap import _EVENTS
 from tiffin.plans.queries import _RAW, _register, curated
@@ -137,8 +138,7 @@ def _(s, d):
 
 @_register("q_join_anti", "select c_custkey from customer where c_custkey not in (select o_custkey from orders where o_totalprice > 300000)")
 def _(s, d):
-    big = T(s, d, "orders").where("o_totalprice > 300000 and o_custkey is not null").select(F.col("o_custkey").alias("c_custkey"))
-    return T(s, d, "customer").select("c_custkey").join(big, "c_custkey", "left_anti")
+    return not_in(T(s, d, "customer").select("c_custkey"), "c_custkey", T(s, d, "orders").where("o_totalprice > 300000").select("o_custkey"), "o_custkey")
 
 
 @_register("q_join_semi", "select s_suppkey, s_name from supplier where s_suppkey in (select l_suppkey from lineitem where l_discount >= 0.1)")
@@ -384,14 +384,22 @@ def _stream(s, d) -> DataFrame:
     return raw.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _run(df: DataFrame, mode: str = "append") -> DataFrame:
-    sc = df.sparkSession.sparkContext
+def scratch(spark: SparkSession) -> str:
+    """The shared folder in spark.checkpoint.dir, or the context's; in local mode, without either, a folder of its own."""
+    sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if base is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         import tempfile
 
-        base = tempfile.mkdtemp(prefix="tiffin-stream-")
-    return streams.run_once(df, f"{base}/stream-{uuid.uuid4().hex}", mode)
+        base = tempfile.mkdtemp(prefix="tiffin-")
+        sc.setCheckpointDir(base)
+    return base
+
+
+def _run(df: DataFrame, mode: str = "append") -> DataFrame:
+    return streams.run_once(df, f"{scratch(df.sparkSession)}/stream-{uuid.uuid4().hex}", mode)
 
 
 def _app(df: DataFrame) -> DataFrame:

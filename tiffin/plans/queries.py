@@ -310,11 +310,8 @@ select snapshot_date, total_users, round(a::double / total_users * 100, 2) as m1
     _RAW,
 )
 def _(s, d):
-    c, out = curated(s, d), None
-    for day in ("2001-04-30", "2001-05-31", "2001-06-30"):
-        one = G.user_cohorts(c, day).select("snapshot_date", "customer_id", "lifecycle_stage")
-        out = one if out is None else out.union(one)
-    return R.retention_trend(out)
+    snapshots = G.user_cohorts(curated(s, d), ["2001-04-30", "2001-05-31", "2001-06-30"])
+    return R.retention_trend(snapshots)
 
 
 @_register("q_order_funnel", "select date_trunc('hour', order_placed_at) as hour_bucket, count(*) as orders_placed, count(order_accepted_at) as orders_accepted, count(order_picked_up_at) as orders_picked_up, count(order_delivered_at) as orders_delivered, count(order_cancelled_at) as orders_cancelled, round(avg(actual_delivery_min), 1) as avg_delivery_min, round(count(order_delivered_at)::double / count(*) * 100, 2) as delivery_rate_pct from c group by 1", _RAW)

@@ -126,11 +126,13 @@ def delivery_daily(delivery: DataFrame) -> DataFrame:
 
 def restaurant_scorecard(rolling: DataFrame, performance: DataFrame, as_of: str) -> DataFrame:
     """Restaurants against their peers of city and cuisine, the last day against seven rows before, and a health score."""
-    peers = rolling.groupBy("city_id", "cuisine_primary").agg(F.avg("total_orders_30d").alias("peer_orders"), F.avg(F.col("gmv_30d").cast("double")).alias("peer_gmv"), F.avg("overall_rating").alias("peer_rating"), F.percentile(F.col("gmv_30d").cast("double"), F.lit(0.75)).alias("peer_gmv_p75"))
+    of = Window.partitionBy("city_id", "cuisine_primary")
+    value = F.col("gmv_30d").cast("double")
+    peers = {"peer_orders": F.avg("total_orders_30d"), "peer_gmv": F.avg(value), "peer_rating": F.avg("overall_rating"), "peer_gmv_p75": F.percentile(value, F.lit(0.75))}
     w = Window.partitionBy("restaurant_id").orderBy("metric_date")
     trend = performance.where(F.col("metric_date") > _day(as_of, 30)).withColumns({"gmv_7": F.lag("gross_merchandise_value", 7).over(w), "last": F.max("metric_date").over(Window.partitionBy("restaurant_id"))})
     trend = trend.where("metric_date = last").select("restaurant_id", growth("gross_merchandise_value", "gmv_7", 1).alias("gmv_wow_change_pct"))
-    out = rolling.join(peers, ["city_id", "cuisine_primary"], "left").join(trend, "restaurant_id", "left")
+    out = rolling.withColumns({n: c.over(of) for n, c in peers.items()}).join(trend, "restaurant_id", "left")
     flag = ladder((F.col("sla_breach_rate_30d") > 0.15, "HIGH_SLA_BREACH"), (F.col("overall_rating") < 3.5, "LOW_RATING"), otherwise="HEALTHY")
     return out.select(
         "restaurant_id",
@@ -187,15 +189,17 @@ def order_funnel(curated: DataFrame) -> DataFrame:
 def cannibalization(curated: DataFrame, as_of: str, fresh: int = 30, span: int = 90) -> DataFrame:
     """Zones with new restaurants: orders of the others in the 30 days before, and of both in the 30 days after.
 
-    A zone with several new restaurants counts its orders once for each of them.
+    A zone with several new restaurants counts its orders once for each of them. Only the days that can count are
+    read, and they are counted by restaurant and day before any join.
     """
-    rows = curated.select("restaurant_id", "city_id", "zone_id", "order_date")
+    rows = curated.where(F.col("order_date") >= _day(as_of, max(span, fresh + 30))).groupBy("restaurant_id", "city_id", "zone_id", "order_date").agg(F.count("*").alias("n"))
     first = rows.where(F.col("order_date") >= _day(as_of, span)).groupBy("restaurant_id", "city_id", "zone_id").agg(F.min("order_date").alias("opened"))
     new = first.where(F.col("opened") >= _day(as_of, fresh))
     ids = new.select("restaurant_id").distinct().withColumn("is_new", F.lit(True))
     pairs = rows.join(ids, "restaurant_id", "left").join(new.select("city_id", "zone_id", "opened"), ["city_id", "zone_id"])
     old, gap = F.col("is_new").isNull(), F.datediff("order_date", "opened")
-    out = pairs.groupBy("zone_id", "city_id").agg(F.count_if(old & gap.between(-30, -1)).alias("existing_orders_before"), F.count_if(old & gap.between(0, 30)).alias("existing_orders_after"), F.count_if(~old & gap.between(0, 30)).alias("new_restaurant_orders"))
+    total = lambda when: F.coalesce(F.sum(F.when(when, F.col("n"))), F.lit(0))
+    out = pairs.groupBy("zone_id", "city_id").agg(total(old & gap.between(-30, -1)).alias("existing_orders_before"), total(old & gap.between(0, 30)).alias("existing_orders_after"), total(~old & gap.between(0, 30)).alias("new_restaurant_orders"))
     return out.where("existing_orders_before > 0").withColumns({"existing_order_change_pct": growth("existing_orders_after", "existing_orders_before"), "new_restaurant_share_pct": pct("new_restaurant_orders", F.col("existing_orders_after") + F.col("new_restaurant_orders"))})
 
 

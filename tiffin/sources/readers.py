@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tiffin.functions.expr import became_unavailable, event_time, parse_enum, price_change
+
 
 @dataclass
 class TableConfig:
@@ -28,15 +30,32 @@ def _subquery(cfg: TableConfig, last: str | None) -> str:
 
 def jdbc_bounds(spark: SparkSession, url: str, properties: dict, cfg: TableConfig, last: str | None = None) -> tuple:
     """Smallest and largest value of the partition column among the rows to read; (None, None) if there are none."""
-    c = cfg.partition_column
-    return tuple(spark.read.jdbc(url, _subquery(cfg, last), properties=properties).agg(F.min(c), F.max(c)).first())
+    c, where = cfg.partition_column, f" WHERE {cfg.incremental_column} >= '{last}'" if last else ""
+    bounds = f"(SELECT MIN({c}) AS low, MAX({c}) AS high FROM {cfg.table}{where}) bounds"  # the database does it
+    return tuple(spark.read.jdbc(url, bounds, properties=properties).first())
+
+
+def text_ranges(column: str, parts: int) -> list[str]:
+    """Conditions that deal a text column into disjoint parts by its first two characters, nulls included.
+
+    The bounds divide printable ASCII evenly; every database compares text, so no hash function is needed. Columns
+    whose values begin alike are better dealt by a number, named as the partition column.
+    """
+    steps = [i * 95 * 95 // parts for i in range(1, parts)]
+    at = [(chr(32 + s // 95) + chr(32 + s % 95)).replace("'", "''") for s in steps]
+    if not at:
+        return ["1 = 1"]
+    first, last = f"{column} < '{at[0]}' OR {column} IS NULL", f"{column} >= '{at[-1]}'"
+    return [first, *(f"{column} >= '{a}' AND {column} < '{b}'" for a, b in zip(at, at[1:])), last]
 
 
 def read_table_jdbc(spark: SparkSession, url: str, properties: dict, cfg: TableConfig, last: str | None = None) -> DataFrame:
-    """A table over parallel connections: ranges of a numeric or time column, else hash-like ranges of text."""
+    """A table over parallel connections: ranges of a numeric or time column, or the conditions of text_ranges."""
     source, props = _subquery(cfg, last), properties | {"fetchsize": str(cfg.fetch_size)}
     plain = spark.read.jdbc(url, source, properties=props)
-    kind = plain.schema[cfg.partition_column].dataType
+    kind = next(f.dataType for f in plain.schema if f.name.lower() == cfg.partition_column.lower())
+    if isinstance(kind, T.StringType):
+        return spark.read.jdbc(url, source, predicates=text_ranges(cfg.partition_column, cfg.num_partitions), properties=props)
     low, high = jdbc_bounds(spark, url, properties, cfg, last)
     if low is None or not isinstance(kind, (T.NumericType, T.DateType, T.TimestampType)):
         return plain
@@ -89,6 +108,54 @@ def parse_events(values: DataFrame, schema: str, column: str = "value", aliases:
     return rows.select(*(F.coalesce(f"r.{f.name}", f"r.{aliases[f.name]}").alias(f.name) if f.name in (aliases or {}) else F.col(f"r.{f.name}") for f in made.fields))
 
 
+#: The columns of the change streams and of the menu events.
+CHANGE_SCHEMAS = {
+    "orders": "order_id string, user_id string, restaurant_id string, status string, subtotal decimal(10,2), tax decimal(10,2), delivery_fee decimal(10,2), total_amount decimal(10,2), payment_method string, city string, created_at timestamp, updated_at timestamp",
+    "users": "user_id string, name string, email string, phone string, city string, signup_date timestamp, is_pro_member boolean, preferred_cuisine array<string>, total_orders bigint, average_order_value decimal(10,2), last_order_at timestamp, updated_at timestamp",
+    "menu": "item_id string, restaurant_id string, name string, category string, cuisine_type string, price decimal(10,2), is_vegetarian boolean, is_available boolean, preparation_time_mins int, rating float, updated_at timestamp",
+    "promo": "promo_id string, promo_code string, discount_type string, discount_value decimal(10,2), min_order_value decimal(10,2), max_discount decimal(10,2), valid_from timestamp, valid_until timestamp, usage_count bigint, max_usage bigint, is_active boolean, updated_at timestamp",
+}
+MENU_EVENT = "event_type string, item_id string, restaurant_id string, name string, category string, price decimal(10,2), previous_price decimal(10,2), is_available boolean, last_updated bigint, updated_at bigint"
+MENU_EVENT_TYPES = ["MENU_ITEM_ADDED", "MENU_ITEM_UPDATED", "MENU_ITEM_REMOVED", "MENU_ITEM_PRICE_CHANGED", "MENU_ITEM_AVAILABILITY_CHANGED"]
+
+
+def change_stream(values: DataFrame, table: str, column: str = "value", avro_schema: str | None = None) -> DataFrame:
+    """Change envelopes (before, after, op, ts_ms) of one of CHANGE_SCHEMAS, from JSON text or, with a schema, Avro bytes."""
+    row = CHANGE_SCHEMAS[table]
+    if avro_schema is not None:
+        from pyspark.sql.avro.functions import from_avro  # needs Spark's Avro package on the cluster
+
+        return values.select(from_avro(F.col(column), avro_schema).alias("r")).select("r.*")
+    return values.select(F.from_json(column, f"before struct<{_fields(row)}>, after struct<{_fields(row)}>, op string, ts_ms bigint").alias("r")).select("r.*")
+
+
+def _fields(ddl: str) -> str:
+    return ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in T.StructType.fromDDL(ddl))
+
+
+def menu_events(values: DataFrame, column: str = "value") -> DataFrame:
+    """Menu events from JSON text with their time, price change and whether the item became unavailable.
+
+    An event of an unknown type has none; it stays.
+    """
+    rows = parse_events(values, MENU_EVENT, column).withColumn("event_type", parse_enum(F.col("event_type"), MENU_EVENT_TYPES))
+    made = {"event_time": event_time(F.col("last_updated"), F.col("updated_at")), **price_change(F.col("previous_price"), F.col("price"))}
+    return rows.withColumns(made | {"became_unavailable": became_unavailable(F.col("event_type"), F.col("is_available"))})
+
+
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length) of all files below a folder, of any kind; their contents are not read."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
+
+
+def good_rows(good: DataFrame, bad: DataFrame, dead_letters: str, most: int) -> DataFrame:
+    """`good`, once its bad rows are appended to a folder of dead letters; raises if they are more than `most`."""
+    bad.select("value", F.current_timestamp().alias("failed_at")).write.mode("append").parquet(dead_letters)
+    if (n := bad.count()) > most:
+        raise ValueError(f"{n} rows do not parse; at most {most} may")
+    return good
+
+
 def kafka_stream(spark: SparkSession, servers: str, topics: list[str], starting: str = "latest") -> DataFrame:
     """Several topics as one stream; needs Spark's Kafka package on the cluster."""
     return spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", ",".join(topics)).option("startingOffsets", starting).load().selectExpr("cast(key as string) as key", "cast(value as string) as value", "topic", "partition", "offset", "timestamp")

@@ -16,19 +16,65 @@ def write_orc(df: DataFrame, path: str, partition_by: list[str], bloom: list[str
     (w.option("orc.bloom.filter.columns", ",".join(bloom)) if bloom else w).orc(path)
 
 
-def materialise(df: DataFrame, path: str, partition_by: list[str], sort_by: list[str] = [], run: str = "run", fmt: str = "parquet") -> None:  # noqa: B006
-    """Replace the partitions that `df` has rows for, with audit columns; running it again gives the same table."""
+def append_or_create(df: DataFrame, table: str, partition_by: list[str], fmt: str = "orc") -> None:
+    """Append to a catalog table, or create it. Columns that only one side has are null in the rows of the other."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        df.write.format(fmt).partitionBy(*partition_by).option("compression", "snappy").saveAsTable(table)
+        return
+    have = {f.name.lower() for f in spark.table(table).schema}
+    if new := [f for f in df.schema if f.name.lower() not in have]:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+    given = {f.name.lower() for f in df.schema}
+    rows = df.select(*((F.col(f.name) if f.name.lower() in given else F.lit(None).cast(f.dataType)).alias(f.name) for f in spark.table(table).schema))
+    rows.write.format(fmt).mode("append").partitionBy(*partition_by).saveAsTable(table)
+
+
+def register_partitions(spark: SparkSession, table: str) -> None:
+    """Make the catalog know the partition folders that jobs have written beside it."""
+    spark.sql(f"MSCK REPAIR TABLE {table}")
+    spark.catalog.refreshTable(table)
+
+
+def archive_stream(messages: DataFrame, schema: str, ts: str = "updated_at") -> DataFrame:
+    """Messages (value, topic, partition, offset) as typed columns with their place in the log and hourly partitions."""
+    rows = messages.select(F.from_json("value", schema).alias("r"), "topic", F.col("partition").alias("_partition"), F.col("offset").alias("_offset")).select("r.*", "topic", "_partition", "_offset")
+    t = F.col(ts).cast("timestamp")
+    return rows.withColumns({"year": F.date_format(t, "yyyy"), "month": F.date_format(t, "MM"), "day": F.date_format(t, "dd"), "hour": F.date_format(t, "HH")})
+
+
+def materialise(df: DataFrame, path: str, partition_by: list[str], sort_by: list[str] = [], run: str = "run", fmt: str = "parquet", rows_per_file: int = 2_000_000) -> None:  # noqa: B006
+    """Replace the partitions that `df` has rows for, with audit columns; running it again gives the same table.
+
+    A partition is dealt over as many tasks as its rows need, so one day's load is not one task. `df` is counted by
+    partition first.
+    """
     df = df.withColumns({"last_refreshed_at": F.current_timestamp(), "pipeline_run_id": F.concat(F.lit(f"{run}-"), F.current_date().cast("string"))})
-    df = df.repartition(*partition_by).sortWithinPartitions(*partition_by, *sort_by)
+    need = df.groupBy(*partition_by).agg(F.ceil(F.count("*") / rows_per_file).alias("_files"))
+    names = df.columns
+    salt = F.pmod(F.xxhash64(*(c for c, t in df.dtypes if not t.startswith("map") and c not in ("last_refreshed_at", "pipeline_run_id"))), F.col("_files"))
+    same = need.select(*(F.col(c).alias(f"_p{i}") for i, c in enumerate(partition_by)), "_files")
+    match = F.lit(True)
+    for i, c in enumerate(partition_by):
+        match = match & F.col(c).eqNullSafe(F.col(f"_p{i}"))
+    df = df.join(same, match).withColumn("_salt", salt)
+    df = df.repartition(*partition_by, "_salt").sortWithinPartitions(*partition_by, "_salt", *sort_by).select(*names)
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").format(fmt).partitionBy(*partition_by).save(path)
 
 
 def upsert(spark: SparkSession, changes: DataFrame, path: str, keys: list[str], order: list[str], op: str = "op_type", buckets: int = 64) -> None:
     """Apply changes to a Parquet table that is partitioned by a hash bucket of the keys; only touched buckets are rewritten.
 
-    A key's bucket never changes, so no old copy stays elsewhere. The new buckets are written beside the table before
-    they replace the old ones.
+    A key's bucket never changes, so no old copy stays elsewhere. The new buckets are written beside the table; then
+    each old one is set aside (under a name that readers skip), the new one takes its place, and the old one goes. If
+    the driver is lost in between, the next call brings back what was set aside, and the same changes can be applied
+    again: they are latest rows, so buckets that had them already come out the same. `buckets` belongs to the table and
+    must not change; choose it by the size that the table will have.
     """
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(fs_path(path))
+    _recover_buckets(fs, fs_path, path)
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
     changes = changes.withColumn("_bucket", bucket)
     touched = [r[0] for r in changes.select("_bucket").distinct().collect()]  # at most `buckets` numbers
@@ -42,16 +88,26 @@ def upsert(spark: SparkSession, changes: DataFrame, path: str, keys: list[str],
     merged = apply_changes(old, changes, keys, order, op)
     staged = f"{path}_staged"
     merged.write.mode("overwrite").partitionBy("_bucket").parquet(staged)
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
     for b in touched:
-        fs.delete(fs_path(f"{path}/_bucket={b}"), True)
-        fs.mkdirs(fs_path(path))
-        if fs.exists(fs_path(f"{staged}/_bucket={b}")):
-            fs.rename(fs_path(f"{staged}/_bucket={b}"), fs_path(f"{path}/_bucket={b}"))
+        new = f"{staged}/_bucket={b}"
+        if fs.exists(fs_path(f"{path}/_bucket={b}")):
+            fs.rename(fs_path(f"{path}/_bucket={b}"), fs_path(f"{path}/_old_bucket={b}"))
+        if fs.exists(fs_path(new)):
+            fs.rename(fs_path(new), fs_path(f"{path}/_bucket={b}"))
+        fs.delete(fs_path(f"{path}/_old_bucket={b}"), True)
     fs.delete(fs_path(staged), True)
 
 
+def _recover_buckets(fs, fs_path, path: str) -> None:
+    """Undo a swap that broke off: an old bucket comes back if its new one is not in place, else it goes."""
+    for s in fs.globStatus(fs_path(f"{path}/_old_bucket=*")) or []:
+        name = s.getPath().getName().removeprefix("_old")
+        if fs.exists(fs_path(f"{path}/{name}")):
+            fs.delete(s.getPath(), True)
+        else:
+            fs.rename(s.getPath(), fs_path(f"{path}/{name}"))
+
+
 def to_topic(df: DataFrame, topic: str | None = None, key: str | None = None) -> DataFrame:
     """Rows as key and JSON value for a message sink; a column `topic` stays if no topic is named."""
     rest = [c for c in df.columns if c != "topic" or topic]

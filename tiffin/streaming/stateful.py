@@ -67,18 +67,27 @@ def multi_address_fraud(orders: DataFrame, minutes: int = 5, least: int = 2, del
         fresh = pd.concat(list(frames)).sort_values(["ts", "order_id"])
         held += list(zip(fresh["ts"], fresh["order_id"], fresh["place"]))
         held.sort(key=lambda r: r[0])
-        out = []
+        out, low, high, seen = [], 0, 0, {}  # held[low:high] is the look-back of a row, seen its places
         for t, i in zip(fresh["ts"], fresh["order_id"]):
-            near = [r for r in held if t - span <= r[0] <= t]
-            found = sorted({r[2] for r in near})
+            while high < len(held) and held[high][0] <= t:
+                seen[held[high][2]] = seen.get(held[high][2], 0) + 1
+                high += 1
+            while held[low][0] < t - span:
+                seen[held[low][2]] -= 1
+                low += 1
+            found = sorted(p for p, n in seen.items() if n)
             if len(found) >= least:
+                near = held[low:high]
                 out.append((str(k[0]), i, ",".join(sorted(r[1] for r in near)), ",".join(found), len(found), len(near), near[0][0], t))
-        last = held[-1][0]
-        held = [r for r in held if r[0] >= last - span]
-        state.update(([int(r[0].value // 1000) for r in held], [r[1] for r in held], [r[2] for r in held]))
-        wake = int(last.value // 1_000_000) + minutes * 60_000
-        if wake > state.getCurrentWatermarkMs():
-            state.setTimeoutTimestamp(wake)
+        # Orders up to the watermark may still come, and look back from there.
+        mark = state.getCurrentWatermarkMs()
+        floor = pd.Timestamp(mark, unit="ms") - span
+        held = [r for r in held if r[0] >= floor]
+        if held:
+            state.update(([int(r[0].value // 1000) for r in held], [r[1] for r in held], [r[2] for r in held]))
+            state.setTimeoutTimestamp(max(int(held[-1][0].value // 1_000_000) + minutes * 60_000, mark + 1))
+        elif state.exists:
+            state.remove()
         yield pd.DataFrame(out, columns=["user_id", "order_id", "order_ids", "distinct_addresses", "address_count", "order_count", "window_start", "window_end"])
 
     schema = "user_id string, order_id string, order_ids string, distinct_addresses string, address_count int, order_count int, window_start timestamp, window_end timestamp"
