@@ -74,6 +74,12 @@ def slices(offsets: np.ndarray, limit: int = SLICE):
         i = min(j, n)
 
 
+def texts(column: pa.Array):
+    """The texts of a column (None for null), made a few at a time: a batch can hold many long ones."""
+    for i, j in slices(text_bytes(column)[0]):
+        yield from column.slice(i, j - i).to_pylist()
+
+
 class Words:
     """The words of some rows: byte spans in `buf`, hashes, and where each row's words begin."""
 

@@ -28,8 +28,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._arrow import texts
+
 #: Words that a task remembers; bytes of text encoded at once.
-REMEMBERED, TEXTS = 300_000, 1 << 18
+REMEMBERED, TEXTS = 100_000, 1 << 18
 END = "</w>"
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
@@ -204,10 +206,10 @@ def tokenizer(raw: bytes) -> WordBpe:
     return held[0]
 
 
-def text_batches(texts: list[str | None]):
+def text_batches(column: pa.Array):
     """(first row, texts) with about TEXTS characters each; null as empty."""
     at, size, held = 0, 0, []
-    for i, t in enumerate(texts):
+    for i, t in enumerate(texts(column)):
         held.append(t or "")
         size += len(held[-1])
         if size >= TEXTS:
@@ -246,8 +248,7 @@ def bpe_encode(docs: DataFrame, path: str, outputs: tuple[str, ...] = ("n_tokens
     def scan(batches):
         bpe = tokenizer(shared.value)
         for b in batches:
-            texts = b.column(b.num_columns - 1).to_pylist()
-            for at, some in text_batches(texts):
+            for at, some in text_batches(b.column(b.num_columns - 1)):
                 entries = bpe.encode_batch(some)
                 made = [pa.array([make[o][1](e) for e in entries], make[o][0]) for o in outputs]
                 yield pa.RecordBatch.from_arrays([*(c.slice(at, len(some)) for c in b.columns[:-1]), *made], names=names)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._arrow import _STEP, LOWER, mix
+from ._arrow import _STEP, LOWER, mix, texts
 from ._spark import checkpoint, components, free_names, partitions, repeated_keys, sized
 
 #: Characters of a shingle (a power of 2), bands of a signature and bins of a band.
@@ -104,7 +104,7 @@ def _distinct_lines(docs: DataFrame, text_col: str, make, schema: str) -> DataFr
         seen: set[int] = set()
         for b in batches:
             lines, ids, size = [], [], 0
-            for text in b.column(0).to_pylist():
+            for text in texts(b.column(0)):
                 for line in split_lines(text):
                     if len(line) >= WIDTH and (i := line_id(line)) not in seen:
                         if len(seen) < REMEMBERED:
@@ -132,8 +132,8 @@ def _texts(lines, ids):
 
 def _line_texts(docs: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame:
     """(node, line, size) of the wanted lines."""
-    texts = _distinct_lines(docs, text_col, _texts, "node long, line string").join(sized(wanted), "node", "left_semi")
-    return checkpoint(texts.groupBy("node").agg(F.first("line").alias("line")).withColumn("size", F.length("line")))
+    found = _distinct_lines(docs, text_col, _texts, "node long, line string").join(sized(wanted), "node", "left_semi")
+    return checkpoint(found.groupBy("node").agg(F.first("line").alias("line")).withColumn("size", F.length("line")))
 
 
 def _few(lines: list[str], groups: list[tuple[int, int]], per_mille: int):
@@ -277,8 +277,8 @@ def similar_lines(docs: DataFrame, threshold: float = 0.8, text_col: str = "text
     bands = shared.groupBy("key").agg(F.count("*").alias("n"), *(F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"h{k}") for k in (1, 2)))
     bands = checkpoint(bands.groupBy("n", "h1", "h2").agg(F.min("key").alias("key")).select("key"))
     shared = checkpoint(shared.join(sized(bands), "key"))
-    texts = _line_texts(docs, text_col, checkpoint(shared.select("node").distinct()))
-    load = shared.join(texts.select("node", "size"), "node").groupBy("key").agg(F.greatest(F.ceil(F.sum("size") / BLOCK_CHARS), F.ceil(F.count("*") / BLOCK_LINES)).alias("blocks"))
+    held = _line_texts(docs, text_col, checkpoint(shared.select("node").distinct()))
+    load = shared.join(held.select("node", "size"), "node").groupBy("key").agg(F.greatest(F.ceil(F.sum("size") / BLOCK_CHARS), F.ceil(F.count("*") / BLOCK_LINES)).alias("blocks"))
     crowded = checkpoint(load.where("blocks > 1"))
     rows = shared.join(sized(crowded), "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     # Block k of n meets block j in the cell of the two; with two blocks or more, a cell holds both whole.
@@ -286,7 +286,7 @@ def similar_lines(docs: DataFrame, threshold: float = 0.8, text_col: str = "text
     others = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("blocks") - 1, F.lit(0)))
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.when(F.col("blocks") < 3, F.array(F.lit(0).cast("long"))).otherwise(others))).where("blocks < 3 or own <> other")
     cell = F.when(F.col("blocks") < 3, 0).otherwise(F.least("own", "other") * F.col("blocks") + F.greatest("own", "other"))
-    rows = rows.select("key", cell.alias("cell"), "node").join(texts.select("node", "line"), "node")
+    rows = rows.select("key", cell.alias("cell"), "node").join(held.select("node", "line"), "node")
     return components(_links(rows, per_mille))
 
 
@@ -299,7 +299,7 @@ def dedup_lines(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id",
     def number(batches):
         for b in batches:
             keys, orders, nos, ids = [], [], [], []
-            for key, order, text in zip(*(c.to_pylist() for c in b.columns)):
+            for key, order, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts(b.column(2))):
                 for n, line in enumerate(split_lines(text)):
                     if len(line) >= MIN_CHARS:
                         keys.append(key)
@@ -324,7 +324,7 @@ def dedup_lines(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id",
         lines = pc.fill_null(pc.add(pc.count_substring(text, "\n"), pc.cast(pc.greater(pc.binary_length(text), 0), pa.int32())), 0)
         have = pc.and_(drop.is_valid(), text.is_valid())
         kept = []
-        for t, d in zip(text.filter(have).to_pylist(), drop.filter(have).to_pylist()):
+        for t, d in zip(texts(text.filter(have)), drop.filter(have).to_pylist()):
             gone = set(d)
             kept.append("\n".join([x for n, x in enumerate(t.split("\n")) if n not in gone]))
         if kept:

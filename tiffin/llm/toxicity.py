@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ._arrow import slices, text_bytes
 from ._learn import best_cut, held_out, sigmoid, training_sample
 
 BITS = 18
@@ -167,11 +168,10 @@ def toxicity(docs: DataFrame, model: Model, cut: float = 0.3, text_col: str = "t
     """`docs` with held-out-free columns score (0 to 1) and predicted (1 if score >= cut)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def score(text):
-        import pandas as pd
-
-        return pd.Series(shared.value(list(text)))
+    @F.arrow_udf("double")
+    def score(text: pa.Array) -> pa.Array:
+        parts = [shared.value(text.slice(i, j - i).to_pylist()) for i, j in slices(text_bytes(text)[0])]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     return docs.withColumn("score", score(text_col)).withColumn("predicted", (F.col("score") >= cut).cast("int"))
 
