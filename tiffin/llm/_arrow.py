@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once; keeps numpy temporaries near the CPU caches and bounds memory.
-SLICE = 1 << 19
+SLICE = 1 << 17
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _P = 0x9E3779B97F4A7C15 | 1
@@ -49,7 +49,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = _powers(max(1 << 20, 1 << max(n, 1).bit_length()))
+    up, down = _powers(max(1 << 18, 1 << max(n, 1).bit_length()))
     return up[:n], down[:n]
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 #: Rows of a few plain columns that may be broadcast; beyond that the join is shuffled.
 BROADCAST_ROWS = 1_000_000
+BATCH_BYTES = 8 << 20
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -22,6 +23,13 @@ def scratch_folder(spark: SparkSession) -> str:
     return sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches have at most BATCH_BYTES in this session: a batch of ten thousand long texts fills an executor."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(name).rstrip("bB")) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage by a table written in the shared folder.
 

@@ -29,9 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._arrow import texts
+from ._spark import small_batches
 
 #: Words that a task remembers; bytes of text encoded at once.
-REMEMBERED, TEXTS = 100_000, 1 << 18
+REMEMBERED, TEXTS = 100_000, 1 << 17
 END = "</w>"
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
@@ -233,6 +234,7 @@ def bpe_encode(docs: DataFrame, path: str, outputs: tuple[str, ...] = ("n_tokens
 
     Decoding is the library's for a file without a decoder: the tokens joined by spaces. `path` is read by the driver.
     """
+    small_batches(docs.sparkSession)
     keep = tuple(docs.columns if keep is None else keep)
     shared, names = vocabulary(docs, path), [*keep, *outputs]
     # fmt: off

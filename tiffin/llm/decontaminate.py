@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._arrow import _STEP, ALNUM, Words, mix, slices, text_bytes
-from ._spark import checkpoint
+from ._arrow import _STEP, ALNUM, Words, mix, slices, text_bytes, texts
+from ._spark import checkpoint, small_batches
 
 #: Bytes of benchmark text that one block of the broadcast set may come from.
 BLOCK_BYTES = 4_000_000
@@ -82,6 +82,7 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13, t
 
     An item without an id counts as the item "".
     """
+    small_batches(docs.sparkSession)
     taken = {c for c in docs.columns} & {"n_words", "hit_spans", "hit_items"}
     docs = docs.drop(*taken)
     out = docs.withColumns({"n_words": F.lit(0).cast("long"), "hit_spans": F.array().cast("array<long>"), "hit_items": F.array().cast("array<string>")})
@@ -141,10 +142,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 13, part:
         return contamination(docs, benchmark, width, part, text_col=text_col).where("not contaminated").select(*docs.columns)
     marked = mark_contamination(docs, benchmark, width, text_col)
 
-    @F.pandas_udf("string")
-    def cut(text, spans):
+    @F.arrow_udf("string")
+    def cut(text: pa.Array, spans: pa.Array) -> pa.Array:
         out = []
-        for t, s in zip(text, spans):
+        for t, s in zip(texts(text), spans.to_pylist()):
             if t is not None and len(s):
                 raw = t.encode()
                 data = np.frombuffer(raw, np.uint8)
@@ -154,9 +155,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 13, part:
                     at = w.end[b - 1]
                 t = b"".join([*kept, raw[at:]]).decode()
             out.append(t)
-        import pandas as pd
-
-        return pd.Series(out, dtype=object)
+        return pa.array(out, pa.string())
 
     return marked.withColumn(text_col, cut(text_col, "hit_spans")).select(*docs.columns)
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._arrow import LOWER, text_bytes
-from ._spark import checkpoint, sized
+from ._spark import checkpoint, sized, small_batches
 
 #: Bytes of a chunk: 2 ** 16 products of 8 and 31 bits add up without overflow.
 CHUNK = 1 << 16
@@ -97,6 +97,7 @@ def _chunks(rows: DataFrame) -> DataFrame:
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (doc_id, keep_id, group_size, kept, text_sha256), one for every row of `docs`."""
+    small_batches(docs.sparkSession)
     prints = checkpoint(_fingerprints(docs, id_col, text_col, False).withColumnRenamed("x", "text_sha256"))
     groups = prints.groupBy(*KEY).agg(F.count("*").alias("group_size"), F.max("doc_id").alias("keep_id")).where("group_size > 1")
     groups = checkpoint(groups)

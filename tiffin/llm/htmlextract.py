@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ._spark import small_batches
+
 # Element names of HTML and the words of class and id attributes that mark boilerplate or content.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title iframe".split())
@@ -288,6 +290,7 @@ def main_text(page: str | None) -> str:
 def extract_text(pages: DataFrame, keep: tuple[str, ...] | None = None, html_col: str = "html") -> DataFrame:
     """The columns `keep` (all but the html by default) of `pages`, the main text and its number of characters."""
     keep = tuple(c for c in pages.columns if c != html_col and c not in ("text", "n_chars")) if keep is None else keep
+    small_batches(pages.sparkSession)
     names = [*keep, "text", "n_chars"]
 
     def scan(batches):

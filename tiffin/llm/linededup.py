@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._arrow import _STEP, LOWER, mix, texts
-from ._spark import checkpoint, components, free_names, partitions, repeated_keys, sized
+from ._spark import checkpoint, components, free_names, partitions, repeated_keys, sized, small_batches
 
 #: Characters of a shingle (a power of 2), bands of a signature and bins of a band.
 WIDTH, BANDS, ROWS = 8, 12, 4
@@ -36,9 +36,9 @@ BINS = BANDS * ROWS
 #: Every line that is not blank takes part.
 MIN_CHARS = 1
 #: Lines that a task remembers; characters hashed at once.
-REMEMBERED, CHARS = 1_000_000, 1 << 18
+REMEMBERED, CHARS = 1_000_000, 1 << 16
 #: Lines and characters of a block of a crowded band; cells of the matrix of lines and shingles that a task holds.
-BLOCK_LINES, BLOCK_CHARS, CELLS = 1024, 1 << 20, 1 << 22
+BLOCK_LINES, BLOCK_CHARS, CELLS = 1024, 1 << 20, 1 << 20
 #: Lines of a band that are compared as sets.
 FEW = 8
 _LOWER, _SIGN = bytes(LOWER), 1 << 63
@@ -174,8 +174,7 @@ def _common(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
             x = np.zeros((m, min(step, int(column[-1]) + 1 - c)), np.float32)
             x[of[i:j], column[i:j] - c] = 1
             common += x @ x.T
-    np.fill_diagonal(common, sizes)
-    return sizes, common.astype(np.int64)
+    return sizes, common
 
 
 def _shingle_runs(lines: list[str]):
@@ -204,7 +203,10 @@ def _shingle_runs(lines: list[str]):
 def _many(lines: list[str], per_mille: int):
     """The same for one group of many lines."""
     sizes, common = _common(lines)
-    similar = 1000 * common >= per_mille * (sizes[:, None] + sizes - common)
+    similar = np.empty(common.shape, bool)
+    for i in range(0, len(lines), 128):
+        some = common[i : i + 128].astype(np.int64)
+        similar[i : i + 128] = 1000 * some >= per_mille * (sizes[i : i + 128, None] + sizes - some)
     todo = np.ones(len(lines), bool)
     for i in range(len(lines)):
         if todo[i]:
@@ -292,6 +294,7 @@ def similar_lines(docs: DataFrame, threshold: float = 0.8, text_col: str = "text
 
 def dedup_lines(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` with texts without repeated lines, and n_lines and n_dropped."""
+    small_batches(docs.sparkSession)
     docs = docs.drop("n_lines", "n_dropped")
     similar = similar_lines(docs, threshold, text_col)
     doc_key = F.xxhash64(F.col(id_col).cast("string"), F.lit("|"), F.col(text_col))

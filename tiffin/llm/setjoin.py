@@ -20,16 +20,15 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._arrow import SPACES, Words, mix, shingles, slices, text_bytes
-from ._spark import checkpoint, components, partitions, repeated_keys, sized
+from ._spark import checkpoint, components, partitions, repeated_keys, sized, small_batches
 
-#: Members of a block, the unit in which a group is stored and opened.
-BLOCK = 64
+#: Members and tokens of a block, the unit in which a group is stored and opened.
+BLOCK, BLOCK_TOKENS = 64, 1 << 19
 #: Tokens of the queries that one task compares with a block at a time.
 QUERY_TOKENS = 400_000
 #: Sets whose keys a task remembers to have given out already.
@@ -150,34 +149,62 @@ def _verify_pairs(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFr
     return both.select("a", "b", "x", "y").mapInArrow(scan, "a long, b long")
 
 
+class _Block:
+    """Members of a block: their tokens' union, and which members have each of it."""
+
+    def __init__(self, sids: list[int], tokens: list[np.ndarray]):
+        self.sid, self.size = np.array(sids, np.int64), np.array([len(x) for x in tokens])
+        token = np.concatenate(tokens) if tokens else np.zeros(0, np.uint64)
+        owner = np.repeat(np.arange(len(tokens)), self.size)
+        order = np.argsort(token, kind="stable")
+        token, self.owner = token[order], owner[order]
+        self.union, begin = np.unique(token, return_index=True)
+        self.begin = np.append(begin, len(token))
+
+    def links(self, a: int, x: np.ndarray, per_mille: int):
+        """Members that link with a query, if its overlap with the union lets it open the block."""
+        union, begin = self.union, self.begin
+        at = np.searchsorted(union, x)
+        at = at[(at < len(union)) & (union[np.minimum(at, len(union) - 1)] == x)] if len(union) else at[:0]
+        if 1000 * len(at) < per_mille * len(x):
+            return  # no member can reach the threshold
+        n = begin[at + 1] - begin[at]
+        hits = np.repeat(begin[at] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+        common = np.bincount(self.owner[hits], minlength=len(self.sid))
+        for b in self.sid[_linked(common, len(x), self.size, per_mille)].tolist():
+            if a != b:
+                yield min(a, b), max(a, b)
+
+
 def _open_groups(queries: DataFrame, blocks: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) between queries (block, chunk, sid, tokens) and the members of the blocks that they open."""
+    """Links (a, b) between queries and the members of the blocks that they open; both (block, chunk, sid, tokens).
+
+    A task holds one block and an Arrow batch: of each block and chunk the members come first, then the queries stream.
+    """
     t = _ints(threshold)
 
-    def compare(q: pd.DataFrame, g: pd.DataFrame) -> pd.DataFrame:
-        member = [np.frombuffer(x, np.uint64) for x in g["member_tokens"]]
-        token = np.concatenate(member) if member else np.zeros(0, np.uint64)
-        owner = np.repeat(np.arange(len(member)), [len(x) for x in member])
-        order = np.argsort(token, kind="stable")
-        token, owner = token[order], owner[order]
-        union, begin = np.unique(token, return_index=True)
-        begin = np.append(begin, len(token))
-        size, sid, out = np.array([len(x) for x in member]), g["member"].to_numpy(), []
-        for a, x in zip(q["sid"], q["tokens"]):
-            x = np.frombuffer(x, np.uint64)
-            at = np.searchsorted(union, x)
-            at = at[(at < len(union)) & (union[np.minimum(at, len(union) - 1)] == x)] if len(union) else at[:0]
-            if 1000 * len(at) < t * len(x):
-                continue  # no member can reach the threshold
-            n = begin[at + 1] - begin[at]
-            hits = np.repeat(begin[at] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-            common = np.bincount(owner[hits], minlength=len(member))
-            for b in sid[_linked(common, len(x), size, t)]:
-                if a != b:
-                    out.append((min(a, b), max(a, b)))
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    return queries.groupBy("block", "chunk").cogroup(blocks.groupBy("in_block", "in_chunk")).applyInPandas(compare, "a long, b long")
+    def compare(batches):
+        held, block, sids, tokens = None, None, [], []
+        for batch in batches:
+            found = []
+            keys = zip(*(batch.column(c).to_pylist() for c in range(4)))
+            for (key, chunk, asks, sid), x in zip(keys, batch.column(4)):
+                if (key, chunk) != held:
+                    held, block, sids, tokens = (key, chunk), None, [], []
+                x = np.frombuffer(x.as_buffer(), np.uint64)
+                if not asks:
+                    sids.append(sid)
+                    tokens.append(x.copy())
+                    continue
+                if block is None:
+                    block, tokens = _Block(sids, tokens), []
+                found.extend(block.links(sid, x, t))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
+
+    rows = blocks.select("block", "chunk", F.lit(False).alias("asks"), "sid", "tokens").union(queries.select("block", "chunk", F.lit(True), "sid", "tokens"))
+    rows = rows.repartition(partitions(rows.sparkSession), "block", "chunk").sortWithinPartitions("block", "chunk", "asks")
+    return rows.mapInArrow(compare, "a long, b long")
 
 
 def similar_components(docs: DataFrame, width: int = 5, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -187,6 +214,7 @@ def similar_components(docs: DataFrame, width: int = 5, threshold: float = 0.8,
     stream. Within a group, members linked to the centre need no comparison with each other, and a block is opened
     only by queries of another component.
     """
+    small_batches(docs.sparkSession)
     ids = checkpoint(_ids(docs, id_col, text_col, width))
     shared = checkpoint(repeated_keys(_keys(docs, text_col, width, threshold), "key", "sid").toDF("key", "sid"))
     hot = shared.groupBy("key").agg(F.count("*").alias("n"))
@@ -201,7 +229,8 @@ def similar_components(docs: DataFrame, width: int = 5, threshold: float = 0.8,
     # A group's linked core and its other members go to blocks of their own, of about BLOCK members each.
     kind = F.when(F.col("component") == F.col("sid"), F.lit(0).cast("long")).otherwise(F.col("component"))
     member = member.withColumn("kind", kind)
-    many = member.groupBy("centre", "kind").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    member = checkpoint(member.join(sets.select("sid", "n"), "sid"))
+    many = member.groupBy("centre", "kind").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_TOKENS)).alias("blocks"))
     member = checkpoint(member.join(many, ["centre", "kind"]).withColumn("block", F.xxhash64("centre", "kind", F.pmod(F.xxhash64("sid"), F.col("blocks")))))
     mixed = shared.join(member.select("sid", "component"), "sid").groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
     open_keys = shared.join(sized(mixed), "key").join(member.select("sid", "component", "kind", "centre"), "sid")
@@ -216,7 +245,7 @@ def similar_components(docs: DataFrame, width: int = 5, threshold: float = 0.8,
     queries = asked.join(load, "block").select("block", F.pmod(F.xxhash64("sid"), F.col("chunks")).cast("int").alias("chunk"), "sid").join(sets, "sid")
     opened = load.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     blocks = member.select("sid", "block").join(opened, "block").select("block", "chunk", "sid").join(sets, "sid")
-    links = _open_groups(queries.select("block", "chunk", "sid", "tokens"), blocks.select("block", "chunk", "sid", "tokens").toDF("in_block", "in_chunk", "member", "member_tokens"), threshold)
+    links = _open_groups(queries, blocks, threshold)
     final = components(star.union(links))
     named = ids.where("n > 0").groupBy("sid", "n").agg(F.min("doc_id").alias("least"))
     named = named.join(final.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))

@@ -15,7 +15,7 @@ table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,9 +66,9 @@ def hilbert_shards(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", te
     the fullest cell over BUCKET_ROWS; their table has a few rows for every BUCKET_ROWS documents.
     """
 
-    @F.pandas_udf("long")
-    def index(dims: pd.DataFrame) -> pd.Series:
-        return pd.Series(hilbert_index([dims[c].to_numpy() for c in dims], BITS))
+    @F.arrow_udf("long")
+    def index(dims: pa.Array) -> pa.Array:
+        return pa.array(hilbert_index([dims.field(k).to_numpy() for k in range(dims.type.num_fields)], BITS))
 
     raw = F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")
     size = (F.octet_length(F.coalesce(F.col(text_col), F.lit(""))) + OVERHEAD).cast("long")

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import text_batches, tokenizer, vocabulary
+from ._spark import small_batches
 
 #: Tokens of a block.
 BLOCK = 1 << 18
@@ -29,6 +30,7 @@ def token_files(docs: DataFrame, path: str, eod: int, block: int = BLOCK, id_col
     `tokens` are little-endian 16-bit ids; `doc_ids` lists the documents that end in the block, as a writer's log
     would, and is not used to find boundaries. `eod` must not be an id of the vocabulary.
     """
+    small_batches(docs.sparkSession)
     shared = vocabulary(docs, path)
     names = ["block", "tokens", "doc_ids"]
 

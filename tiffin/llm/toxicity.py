@@ -19,13 +19,14 @@ from pyspark.sql import functions as F
 
 from ._arrow import slices, text_bytes
 from ._learn import best_cut, held_out, sigmoid, training_sample
+from ._spark import small_batches
 
 BITS = 18
 SIZES = (3, 4, 5)
 #: The bounds of the sample and of the features that get weights.
 PER_CLASS, FEATURES, LEAST_Z = 3000, 1 << 14, 4.5
 #: Characters scored at once.
-CHARS = 1 << 18
+CHARS = 1 << 16
 _A = np.random.default_rng(20240609).integers(0, 1 << 63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = np.uint64(0x9E3779B97F4A7C15)
 
@@ -166,6 +167,7 @@ def _logistic(f, v, at, y, fit, size, steps: int = 150) -> np.ndarray:
 
 def toxicity(docs: DataFrame, model: Model, cut: float = 0.3, text_col: str = "text") -> DataFrame:
     """`docs` with held-out-free columns score (0 to 1) and predicted (1 if score >= cut)."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
