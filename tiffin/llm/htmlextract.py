@@ -1,10 +1,15 @@
 """Main text of web pages by minimum-cut labelling of their text blocks.
 
-A page is read into text blocks in page order. A linear classifier over element names, class and id words, link
-share and length gives each block a leaning to content or boilerplate, which becomes the capacity of its edge to the
-source or the sink. Neighbouring blocks and blocks of one parent element are tied by smoothness edges. The minimum
-cut, found by max-flow, separates content from boilerplate with the least total cost. Blocks whose leaning exceeds
-all their ties keep their side in every minimum cut and are taken out first, so the flow runs on what is left.
+A page is read into text blocks in page order. A linear classifier gives each block the log odds of being content, from
+its length, link share, punctuation, whether it is a heading, and the nearest mark above it: an element such as <nav> or
+<article>, or a class, id or role word. The odds become the capacity of the block's edge to the source or the sink;
+blocks that follow each other and blocks whose elements have one parent are tied by smoothness edges of the same scale.
+The minimum cut, found by max-flow, separates content from boilerplate with the least total cost. Blocks whose odds
+exceed all their ties keep their side in every minimum cut and are taken out first, so the flow runs on what is left.
+
+The classifier is fitted to the pages themselves (`fit`): on a bounded sample of them, link lists, hidden texts and
+texts that several pages share are taken as boilerplate, long unmarked texts of one page as content; logistic loss, with
+a pull to the prior weights below, moves the weights.
 
 Defined cases: null and empty pages and pages without content give an empty text; unclosed and stray tags are
 tolerated; ids, repeated rows and other columns do not matter. Each page is one row's work, in one pass.
@@ -13,12 +18,17 @@ tolerated; ids, repeated rows and other columns do not matter. Each page is one
 from __future__ import annotations
 
 import html
+import math
 import re
+import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ._arrow import texts
+from ._learn import sigmoid
 from ._spark import small_batches
 
 # Element names of HTML and the words of class and id attributes that mark boilerplate or content.
@@ -49,21 +59,47 @@ _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*
 _HINT = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _UNQUOTED_SLASH = re.compile(r"""=\s*[^\s"']+/\Z""")
+_HEADING = re.compile("h[1-6]")
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]+|[A-Z]+(?![a-z])")
 
-#: The classifier's weights and the smoothness of ties between neighbours and between siblings.
-IN_BOILERPLATE, MARKED, IN_CONTENT, HIDDEN, LINKED, BASE = -6.0, -6.0, 3.5, -9.0, -3.0, -0.6
-NEIGHBOUR, SIBLING = 0.4, 0.6
-
-
-def _leaning(name: str, attributes: str) -> float:
-    """What the class, id and role of an element say."""
-    if _HIDDEN.search(attributes):
+#: Of the boilerplate words, those that mean it also as a part of a longer name, such as comment-list.
+STRONG_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising breadcrumb breadcrumbs byline comment comments consent cookie cookies footer gdpr menu modal nav navbar"
+    " navigation newsletter notice notices pagination popup promo promoted promotion promotions sidebar signup sponsor sponsored subscribe subscription"
+    " toolbar topbar".split()
+)
+#: Log odds of the marks of elements and words.
+IN_BOILERPLATE, IN_CONTENT, HIDDEN, STRONG, PLAIN, PARTIAL, CONTENT_WORD = -4.0, 1.5, -9.0, -4.0, -3.0, -1.0, 0.8
+#: Prior weights: constant, length, link share, punctuation, heading, mark. Ties of neighbours and of siblings.
+PRIOR = (-1.6, 2.2, -3.0, 0.5, 0.8, 1.0)
+NEIGHBOUR, SIBLING = 0.5, 1.5
+#: Log odds are cut here, so that no block outweighs a whole page.
+MOST = 6.0
+#: Pages and blocks of the sample that the weights are fitted to, and how strongly the prior pulls.
+SAMPLE_PAGES, SAMPLE_BLOCKS, PULL = 2000, 50_000, 1.0
+
+
+def _mark(name: str, attributes: str) -> float:
+    """What an element and its class, id and role say of its text; 0 is nothing."""
+    if attributes and _HIDDEN.search(attributes):
         return HIDDEN
-    words = {w.lower() for _, v in _HINT.findall(attributes) for w in _WORD.findall(v)}
-    if words & BOILERPLATE_WORDS and name not in WHOLE:
-        return 0.0 if words & CONTENT_WORDS else MARKED
-    return 1.5 if words & CONTENT_WORDS else 0.0
+    if name in BOILERPLATE:
+        return IN_BOILERPLATE
+    if name in ("article", "main"):
+        return IN_CONTENT
+    if not attributes or name in WHOLE:
+        return 0.0
+    out = 0.0
+    for _, v in _HINT.findall(attributes):
+        for part in v.strip("\"'").split():
+            words = {w.lower() for w in _WORD.findall(part)}
+            if words & CONTENT_WORDS:
+                return CONTENT_WORD if out == 0 and not words & BOILERPLATE_WORDS else 0.0
+            if words & STRONG_WORDS:
+                out = min(out, STRONG)
+            elif words & BOILERPLATE_WORDS:
+                out = min(out, PLAIN if len(words) == 1 else PARTIAL)
+    return out
 
 
 def _closed(attributes: str) -> bool:
@@ -73,17 +109,26 @@ def _closed(attributes: str) -> bool:
 
 
 class _Block:
-    __slots__ = ("text", "linked", "score", "parent", "name")
+    __slots__ = ("text", "share", "mark", "parent", "name")
 
-    def __init__(self, text: str, linked: int, score: float, parent: int, name: str):
-        self.text, self.linked, self.score, self.parent, self.name = text, linked, score, parent, name
+    def __init__(self, text: str, share: float, mark: float, parent: int, name: str):
+        self.text, self.share, self.mark, self.parent, self.name = text, share, mark, parent, name
+
+    def features(self) -> tuple[float, ...]:
+        n = len(self.text)
+        stops = sum([self.text.count(c) for c in ".!?\u2026\u3002"])
+        return 1.0, min(math.log1p(n) / 5.3, 1.3), self.share, min(stops * 100 / max(n, 1), 1.0), float(_HEADING.fullmatch(self.name) is not None), self.mark
+
+
+def odds(features: tuple[float, ...], weights: tuple[float, ...]) -> float:
+    return max(-MOST, min(MOST, sum([x * w for x, w in zip(features, weights)])))
 
 
 def read_blocks(page: str) -> list[_Block]:
-    """The text blocks of a page, with what their elements and text lean to."""
+    """The text blocks of a page, with the nearest mark above each and the parent of its element."""
     blocks: list[_Block] = []
-    # Open elements: name, leaning of all down to it, number of the nearest block element, whether in a link.
-    stack: list[tuple[str, float, int, bool]] = [("", 0.0, 0, False)]
+    # Open elements: name, nearest mark, number of the nearest block element, whether in a link, that element's parent.
+    stack: list[tuple[str, float, int, bool, int]] = [("", 0.0, 0, False, 0)]
     parts: list[tuple[str, bool]] = []
     number, at, n = 0, 0, len(page)
     veil = 0  # place in the stack of the outermost veiled element
@@ -100,12 +145,8 @@ def read_blocks(page: str) -> list[_Block]:
             text = " ".join(html.unescape(raw).split())
             if text:
                 linked = sum([len(p) for p, in_link in parts if in_link])
-                name, lean, parent, _ = stack[-1]
-                share = linked / max(len(raw), 1)
-                score = lean + BASE + min(len(text) / 80, 2.5) + (LINKED * share if share > 0.3 else 0)
-                if lean >= 0 and re.fullmatch("h[1-6]", name):
-                    score += 1.0
-                blocks.append(_Block(text, linked, score, parent, name))
+                name, mark, _, _, parent = stack[-1]
+                blocks.append(_Block(text, linked / max(len(raw), 1), mark, parent, name))
             parts.clear()
 
     while at < n:
@@ -158,8 +199,8 @@ def read_blocks(page: str) -> list[_Block]:
             flush() if name == "hr" else parts.append((" ", stack[-1][3]))
             continue
         block = name in BLOCK
-        lean = _leaning(name, attributes) if attributes else 0.0
-        if block or lean < 0:
+        mark = _mark(name, attributes)
+        if block or mark < 0:
             flush()
         if block:
             for k in range(len(stack) - 1, 0, -1):
@@ -170,12 +211,10 @@ def read_blocks(page: str) -> list[_Block]:
                     break
             number += 1
         up = stack[-1]
-        if name in BOILERPLATE:
-            lean += IN_BOILERPLATE
-        elif name in ("article", "main"):
-            lean = lean + IN_CONTENT if up[1] < IN_CONTENT else lean
+        # A mark holds until a nearer one; within hidden or marked text, content words and elements change nothing.
+        mark = min(mark, up[1]) if up[1] <= PLAIN else mark or up[1]
         if not attributes.rstrip().endswith("/"):
-            stack.append((name, up[1] + lean, number if block else up[2], up[3] or name == "a"))
+            stack.append((name, mark, number if block else up[2], up[3] or name == "a", up[2] if block else up[4]))
     flush()
     return blocks
 
@@ -279,15 +318,71 @@ class _MaxFlow:
                 x = self.to[e]
 
 
-def main_text(page: str | None) -> str:
+def label(blocks: list[_Block], weights: tuple[float, ...] = PRIOR) -> tuple[list[float], list[bool]]:
+    """For each block its log odds, and whether it is content."""
+    scores = [odds(b.features(), weights) for b in blocks]
+    return scores, minimum_cut(scores, _ties(blocks))
+
+
+def main_text(page: str | None, weights: tuple[float, ...] = PRIOR) -> str:
     if not page:
         return ""
     blocks = read_blocks(page)
-    keep = minimum_cut([b.score for b in blocks], _ties(blocks))
-    return "\n\n".join([b.text for b, k in zip(blocks, keep) if k])
+    return "\n\n".join([b.text for b, k in zip(blocks, label(blocks, weights)[1]) if k])
+
+
+def fit(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE_PAGES) -> tuple[float, ...]:
+    """Weights of the classifier, from at most `sample` pages, the first by a hash of the page.
+
+    At most SAMPLE_BLOCKS of their blocks reach the driver, as six numbers and a hash each.
+    """
+    keyed = pages.select(F.xxhash64(html_col).alias("h"), F.col(html_col).alias("html")).where("html is not null")
+    first = keyed.select("h").orderBy("h").limit(sample).distinct()
+    some = keyed.join(F.broadcast(first), "h").dropDuplicates(["h"])
+
+    def blocks(batches):
+        for b in batches:
+            for page in texts(b.column(0)):
+                found = read_blocks(page)
+                if found:
+                    codes = [zlib.crc32(x.text.encode("utf-8", "surrogatepass")) for x in found]
+                    yield pa.RecordBatch.from_arrays([pa.array([list(x.features()) for x in found], pa.list_(pa.float64())), pa.array(codes, pa.int64())], names=["x", "code"])
+
+    rows = some.select("html").mapInArrow(blocks, "x array<double>, code long")
+    rows = rows.groupBy("x", "code").agg(F.count("*").alias("n")).orderBy(F.xxhash64("code", "x"), "code").limit(SAMPLE_BLOCKS).collect()
+    if not rows:
+        return PRIOR
+    x, n = np.array([r["x"] for r in rows]), np.array([r["n"] for r in rows], float)
+    chars = np.expm1(x[:, 1] * 5.3)
+    bad = (x[:, 2] > 0.5) | (n > 1) | (x[:, 5] <= HIDDEN)
+    good = ~bad & (chars >= 160) & (x[:, 2] < 0.2) & (x[:, 5] >= 0)
+    prior = np.array(PRIOR)
+    if not good.any() or not bad.any():
+        return PRIOR
+    w, y = prior.copy(), good.astype(float)
+    side = np.where(good, 0.5 / good.sum(), np.where(bad, 0.5 / bad.sum(), 0))
+    for _ in range(500):
+        w -= 0.5 * (x.T @ ((sigmoid(x @ w) - y) * side) + PULL * (w - prior))
+    return tuple(float(v) for v in w)
+
+
+def decided_by_cut(pages: DataFrame, weights: tuple[float, ...], html_col: str = "html") -> DataFrame:
+    """One row: the number of blocks, and of those whose side is not the one that their own odds ask for."""
+
+    def count(batches):
+        for b in batches:
+            total = turned = 0
+            for page in texts(b.column(0)):
+                scores, sides = label(read_blocks(page or ""), weights)
+                total += len(scores)
+                turned += sum([(s > 0) != k for s, k in zip(scores, sides)])
+            yield pa.RecordBatch.from_arrays([pa.array([total]), pa.array([turned])], names=["blocks", "turned"])
+
+    rows = pages.select(F.col(html_col)).mapInArrow(count, "blocks long, turned long")
+    return rows.agg(F.sum("blocks").alias("blocks"), F.sum("turned").alias("turned"))
 
 
-def extract_text(pages: DataFrame, keep: tuple[str, ...] | None = None, html_col: str = "html") -> DataFrame:
+def extract_text(pages: DataFrame, keep: tuple[str, ...] | None = None, html_col: str = "html", weights: tuple[float, ...] = PRIOR) -> DataFrame:
     """The columns `keep` (all but the html by default) of `pages`, the main text and its number of characters."""
     keep = tuple(c for c in pages.columns if c != html_col and c not in ("text", "n_chars")) if keep is None else keep
     small_batches(pages.sparkSession)
@@ -297,8 +392,8 @@ def extract_text(pages: DataFrame, keep: tuple[str, ...] | None = None, html_col
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 some = b.slice(at, 500)
-                texts = [main_text(x) for x in some.column(some.num_columns - 1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*some.columns[:-1], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=names)
+                found = [main_text(x, weights) for x in texts(some.column(some.num_columns - 1))]
+                yield pa.RecordBatch.from_arrays([*some.columns[:-1], pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())], names=names)
 
     kept = pages.select(*keep)
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema] + ["text string", "n_chars long"])
@@ -306,4 +401,5 @@ def extract_text(pages: DataFrame, keep: tuple[str, ...] | None = None, html_col
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"), ("page_id", "url"))
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return extract_text(pages, ("page_id", "url"), weights=fit(pages))
