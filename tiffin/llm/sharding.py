@@ -4,9 +4,12 @@ Source, language and size of every document are quantised to 2 ** BITS steps; th
 on the Hilbert curve. Documents sorted by that index are cut into runs of equal row counts, so that a shard spans few
 values of every dimension and files can be pruned on each of them.
 
-Ranks come without a global sort: rows are counted by (cell, bucket), where hashing deals a crowded cell into buckets
-of about BUCKET_ROWS rows; the counts' running sum gives each bucket its first rank, and rows are ranked within their
-bucket. A third of all rows in one cell thus spreads over as many tasks as its rows need.
+Ranks come without a global sort: rows are counted by (cell, bucket), where hashing texts deals a crowded cell into
+buckets of about BUCKET_ROWS rows; the counts' running sum gives each bucket its first rank, and rows are ranked within
+their bucket. Texts of more than BUCKET_ROWS copies have buckets of their own, dealt by row number. A third of all rows
+in one cell, or of one text, or the same row again and again, thus spreads over as many tasks as its rows need, and
+equal texts of a cell follow each other in the order. The table of buckets, a few rows for every BUCKET_ROWS documents,
+is summed up in one task.
 
 Defined cases: null source, language, text or id is a value of its own; rows that repeat are separate rows; an empty
 table gives no rows; other columns are ignored.
@@ -62,8 +65,8 @@ def _category(col: str):
 def hilbert_shards(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text", categories: tuple[str, ...] = ("source", "lang")) -> DataFrame:
     """Rows (doc_id, size, text_crc32, shard, slot, hilbert): shards of row counts at most one apart, by the curve.
 
-    The order is by curve index, then by bucket, text checksum, id. The number of buckets is the number of rows of
-    the fullest cell over BUCKET_ROWS; their table has a few rows for every BUCKET_ROWS documents.
+    The order is by curve index, then by bucket, text checksum, id; equal texts of one language and source thus lie in one
+    shard, or in some that follow each other.
     """
 
     @F.arrow_udf("long")
@@ -75,9 +78,13 @@ def hilbert_shards(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", te
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), size.alias("size"), F.crc32(raw).alias("text_crc32"), *(_category(c).alias(f"d{i}") for i, c in enumerate(categories)))
     log_size = F.least(F.floor(F.log2(F.col("size")) * 2 - 8), F.lit((1 << BITS) - 1)).cast("long")
     rows = rows.withColumn("hilbert", index(F.struct(*(f"d{i}" for i in range(len(categories))), F.greatest(log_size, F.lit(0).cast("long")).alias("ds"))))
-    rows = checkpoint(rows.select("doc_id", "size", "text_crc32", "hilbert"))
+    rows = checkpoint(rows.select("doc_id", "size", "text_crc32", "hilbert", F.monotonically_increasing_id().alias("row")))
     cells = checkpoint(rows.groupBy("hilbert").agg(F.count("*").alias("n"))).withColumn("buckets", F.ceil(F.col("n") / BUCKET_ROWS))
-    rows = rows.join(sized(cells.select("hilbert", "buckets")), "hilbert").withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_crc32"), "buckets"))
+    crowds = checkpoint(rows.groupBy("hilbert", "text_crc32").agg(F.count("*").alias("n")).where(F.col("n") > BUCKET_ROWS)).select("hilbert", "text_crc32", F.ceil(F.col("n") / BUCKET_ROWS).alias("parts"))
+    rows = rows.join(sized(cells.select("hilbert", "buckets")), "hilbert").join(sized(crowds), ["hilbert", "text_crc32"], "left")
+    crowd = F.col("parts").isNotNull()
+    bucket = F.struct(F.pmod(F.xxhash64("text_crc32"), "buckets").alias("b"), F.when(crowd, F.col("text_crc32")).otherwise(-1).alias("text"), F.when(crowd, F.pmod(F.xxhash64("row"), "parts")).otherwise(0).alias("part"))
+    rows = rows.select("doc_id", "size", "text_crc32", "hilbert", bucket.alias("bucket"))
     counts = checkpoint(rows.groupBy("hilbert", "bucket").agg(F.count("*").alias("n")))
     total = counts.agg(F.sum("n")).first()[0] or 0
     first = counts.withColumn("first", F.sum("n").over(Window.orderBy("hilbert", "bucket")) - F.col("n")).drop("n")
