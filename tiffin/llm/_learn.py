@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._spark import checkpoint
+
 
 def held_out(id_col: str = "doc_id") -> Column:
     """Documents that never train: crc32 of the id as text, modulo 4, is 2. A null id is not held out (nor labelled)."""
@@ -15,12 +17,21 @@ def held_out(id_col: str = "doc_id") -> Column:
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(text, y) of at most `per_class` documents for each of the labels 0 and 1, the first by a hash of the id.
 
-    A document with several labels counts by the largest; rows of `docs` that share an id all enter.
+    A document with several labels counts by the largest; of rows of `docs` that share an id the first text enters. The
+    sample is written once, with its texts, so that training does not read `docs` again.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label).isin(0, 1) & ~held_out(id_col)).groupBy(id_col).agg(F.max(label).alias("y"))
     known = known.withColumn("h", F.xxhash64(id_col))
     picked = known.where("y = 0").orderBy("h", id_col).limit(per_class).union(known.where("y = 1").orderBy("h", id_col).limit(per_class))
-    return docs.select(F.col(id_col), F.col(text_col).alias("text")).join(F.broadcast(picked.select(id_col, "y", "h")), id_col).select("text", "y", "h")
+    rows = docs.select(F.col(id_col), F.col(text_col).alias("text")).join(F.broadcast(picked.select(id_col, "y", "h")), id_col)
+    return checkpoint(rows.groupBy(id_col, "y", "h").agg(F.min("text").alias("text")).select("text", "y", "h"))
+
+
+def class_sizes(labels: DataFrame, label: str, id_col: str = "doc_id") -> tuple[int, int]:
+    """How many documents that are not held out have label 0 and label 1."""
+    known = labels.where(F.col(id_col).isNotNull() & F.col(label).isin(0, 1) & ~held_out(id_col)).groupBy(id_col).agg(F.max(label).alias("y"))
+    row = known.agg(F.count_if("y = 0"), F.count_if("y = 1")).first()
+    return row[0], row[1]
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

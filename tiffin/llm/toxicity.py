@@ -23,8 +23,8 @@ from ._spark import small_batches
 
 BITS = 18
 SIZES = (3, 4, 5)
-#: The bounds of the sample and of the features that get weights.
-PER_CLASS, FEATURES, LEAST_Z = 3000, 1 << 14, 4.5
+#: The bound of the sample, and how clearly (in standard errors) a feature's shares must differ to get a weight.
+PER_CLASS, LEAST_Z = 3000, 4.5
 #: Characters scored at once.
 CHARS = 1 << 16
 _A = np.random.default_rng(20240609).integers(0, 1 << 63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -116,9 +116,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", cut: float =
     p, pooled = seen / docs_of[:, None], seen.sum(axis=0) / docs_of.sum()
     z = np.abs(p[1] - p[0]) / np.sqrt(pooled * (1 - pooled) * (1 / docs_of).sum() + 1e-12)
     z[seen.sum(axis=0) < 3] = 0
-    chosen = np.zeros(1 << BITS, bool)
-    best = np.argsort(-z, kind="stable")[:FEATURES]
-    chosen[best[z[best] >= LEAST_Z]] = True
+    chosen = z >= LEAST_Z
     ratio[~chosen] = 0
     spread = docs.sparkSession.sparkContext.broadcast(chosen)
 
@@ -166,7 +164,7 @@ def _logistic(f, v, at, y, fit, size, steps: int = 150) -> np.ndarray:
 
 
 def toxicity(docs: DataFrame, model: Model, cut: float = 0.3, text_col: str = "text") -> DataFrame:
-    """`docs` with held-out-free columns score (0 to 1) and predicted (1 if score >= cut)."""
+    """`docs` with score (0 to 1) and predicted (1 if score >= cut), which take the place of columns of these names."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
