@@ -16,10 +16,13 @@ BATCH_BYTES = 8 << 20
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The shared folder in spark.checkpoint.dir; a folder of our own only where that is unset, as in tests."""
+    """The shared folder in spark.checkpoint.dir; in local mode, where that is unset, a folder of our own."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="tiffin-checkpoint-"))
+        own = sc.getConf().get("spark.checkpoint.dir")
+        if not own and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(own or tempfile.mkdtemp(prefix="tiffin-checkpoint-"))
     return sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
 
 

@@ -29,10 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._arrow import texts
-from ._spark import small_batches
+from ._spark import free_names, small_batches
 
 #: Words that a task remembers; bytes of text encoded at once.
-REMEMBERED, TEXTS = 100_000, 1 << 17
+REMEMBERED, TEXTS = 40_000, 1 << 17
 END = "</w>"
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
@@ -68,6 +68,7 @@ class WordBpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.token |= {i: t for t, i in self.special.items()}
         self.split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
+        self.kind = "H" if max(self.token, default=0) < 1 << 16 else "I"  # of the arrays of ids
         self.longest: dict[str, int] = {}  # of the tokens that begin with these three symbols
         for t in self.vocab:
             n = len(t) - (len(END) if t.endswith(END) else 0)
@@ -77,6 +78,10 @@ class WordBpe:
         self.known: dict[str, tuple[int, bytes, str, str]] = {}
         self.older: dict[str, tuple[int, bytes, str, str]] = {}
 
+    def forget(self) -> None:
+        """Give up the words met, so that a worker that goes on to other work holds the vocabulary alone."""
+        self.known, self.older, self.judged = {}, {}, {}
+
     def normalise(self, text: str) -> list[str]:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
@@ -166,10 +171,10 @@ class WordBpe:
         for w, s, t, ok in zip(words, symbols, tokens, right.tolist()):
             if not ok:
                 t = self.merge([*s[:-1], s[-1] + END])
-            self.known[w] = (len(t), array("H", t).tobytes(), " ".join(map(str, t)), " ".join([self.token[x] for x in t]))
+            self.known[w] = (len(t), array(self.kind, t).tobytes(), " ".join(map(str, t)), " ".join([self.token[x] for x in t]))
 
     def encode_batch(self, texts: list[str]) -> list[list[tuple[int, bytes, str, str]]]:
-        """For every text, the entries of its words: number of tokens, ids as 16-bit integers, ids and tokens as text."""
+        """For every text, the entries of its words: number of tokens, ids as 16-bit integers (32-bit, if need be), ids and tokens as text."""
         pieces = []
         for text in texts:
             if self.split and "<|" in text and (cut := self.split.split(text))[1:]:
@@ -188,7 +193,7 @@ class WordBpe:
         if fresh:
             for s in fresh & self.special.keys():
                 t = self.special[s]
-                self.known[s] = (1, array("H", [t]).tobytes(), str(t), s)
+                self.known[s] = (1, array(self.kind, [t]).tobytes(), str(t), s)
             if words := list(fresh - self.special.keys()):
                 self.learn(words)
         known = self.known
@@ -232,10 +237,12 @@ def vocabulary(docs: DataFrame, path: str):
 def bpe_encode(docs: DataFrame, path: str, outputs: tuple[str, ...] = ("n_tokens", "ids", "decoded"), keep: tuple[str, ...] | None = None, text_col: str = "text") -> DataFrame:
     """The columns `keep` (all by default) of `docs` and of each text its token ids and what they decode to.
 
+    An output takes the place of a column of its name.
+
     Decoding is the library's for a file without a decoder: the tokens joined by spaces. `path` is read by the driver.
     """
     small_batches(docs.sparkSession)
-    keep = tuple(docs.columns if keep is None else keep)
+    keep = tuple(c for c in (docs.columns if keep is None else keep) if c not in outputs)
     shared, names = vocabulary(docs, path), [*keep, *outputs]
     # fmt: off
     make = {
@@ -254,7 +261,8 @@ def bpe_encode(docs: DataFrame, path: str, outputs: tuple[str, ...] = ("n_tokens
                 entries = bpe.encode_batch(some)
                 made = [pa.array([make[o][1](e) for e in entries], make[o][0]) for o in outputs]
                 yield pa.RecordBatch.from_arrays([*(c.slice(at, len(some)) for c in b.columns[:-1]), *made], names=names)
+        bpe.forget()
 
-    kept = docs.select(*keep)
+    kept = docs.select(*(F.col(f"`{c}`") for c in keep))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema] + [f"{o} {OUTPUTS[o]}" for o in outputs])
-    return docs.select(*keep, F.col(text_col).alias("text_to_encode")).mapInArrow(scan, schema)
+    return docs.select(*(F.col(f"`{c}`") for c in keep), F.col(text_col).alias(free_names(docs, "text_to_encode")[0])).mapInArrow(scan, schema)

@@ -26,6 +26,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ._arrow import _STEP, LOWER, mix, texts
 from ._spark import checkpoint, components, free_names, partitions, repeated_keys, sized, small_batches
@@ -322,19 +323,24 @@ def dedup_lines(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id",
     drop = checkpoint(drop)
     numbers = drop.agg(F.sum(F.size("drop"))).first()[0] or 0  # what a broadcast would hold, at least a number a row
 
-    @F.arrow_udf("struct<text string, n_lines bigint>")
-    def without(text: pa.Array, drop: pa.Array) -> pa.Array:
-        lines = pc.fill_null(pc.add(pc.count_substring(text, "\n"), pc.cast(pc.greater(pc.binary_length(text), 0), pa.int32())), 0)
-        have = pc.and_(drop.is_valid(), text.is_valid())
-        kept = []
-        for t, d in zip(texts(text.filter(have)), drop.filter(have).to_pylist()):
-            gone = set(d)
-            kept.append("\n".join([x for n, x in enumerate(t.split("\n")) if n not in gone]))
-        if kept:
-            text = pc.replace_with_mask(text, have, pa.array(kept, text.type))
-        return pa.StructArray.from_arrays([text, pc.cast(lines, pa.int64())], names=["text", "n_lines"])
-
-    key, gone, new = free_names(docs, "doc_key", "drop", "new")
-    out = docs.withColumn(key, doc_key).join(sized(drop, numbers).toDF(key, gone), key, "left").withColumn(new, without(text_col, gone))
-    out = out.withColumns({text_col: F.col(new)["text"], "n_lines": F.col(new)["n_lines"], "n_dropped": F.coalesce(F.size(gone), F.lit(0)).cast("long")})
-    return out.select(*docs.columns, "n_lines", "n_dropped")
+    names, at = [*docs.columns, "n_lines", "n_dropped"], docs.columns.index(text_col)
+
+    def without(batches):
+        for b in batches:
+            text, drop = b.column(at), b.column(b.num_columns - 1)
+            lines = pc.fill_null(pc.add(pc.count_substring(text, "\n"), pc.cast(pc.greater(pc.binary_length(text), 0), pa.int32())), 0)
+            have = pc.and_(drop.is_valid(), text.is_valid())
+            kept = []
+            for t, d in zip(texts(text.filter(have)), drop.filter(have).to_pylist()):
+                gone = set(d)
+                kept.append("\n".join([x for n, x in enumerate(t.split("\n")) if n not in gone]))
+            if kept:
+                text = pc.replace_with_mask(text, have, pa.array(kept, text.type))
+            n_dropped = pc.fill_null(pc.list_value_length(drop), 0)
+            cols = [*b.columns[:at], text, *b.columns[at + 1 : -1], pc.cast(lines, pa.int64()), pc.cast(n_dropped, pa.int64())]
+            yield pa.RecordBatch.from_arrays(cols, names=names)
+
+    key, gone = free_names(docs, "doc_key", "drop")
+    out = docs.withColumn(key, doc_key).join(sized(drop, numbers).toDF(key, gone), key, "left").select(*(F.col(f"`{c}`") for c in docs.columns), gone)
+    schema = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
+    return out.mapInArrow(without, schema)

@@ -13,7 +13,7 @@ from .linededup import dedup_lines
 from .quality import op10
 from .setjoin import similar_components
 from .sharding import hilbert_shards
-from .tokencount import count_tokens, token_files
+from .tokencount import count_tokens, stored, token_files
 from .toxicity import op2
 
 #: Outside the vocabulary, whose ids end at 49407: texts can hold special tokens.
@@ -35,7 +35,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blocks = token_files(_documents(spark, sf_dir), word_vocabulary(), END_OF_DOCUMENT)
+    blocks = stored(token_files(_documents(spark, sf_dir), word_vocabulary(), END_OF_DOCUMENT))
     return count_tokens(blocks, END_OF_DOCUMENT).select("doc_id", "n_tokens")
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import text_batches, tokenizer, vocabulary
-from ._spark import small_batches
+from ._spark import checkpoint, small_batches
 
 #: Tokens of a block.
 BLOCK = 1 << 18
@@ -29,6 +29,8 @@ def token_files(docs: DataFrame, path: str, eod: int, block: int = BLOCK, id_col
 
     `tokens` are little-endian 16-bit ids; `doc_ids` lists the documents that end in the block, as a writer's log
     would, and is not used to find boundaries. `eod` must not be an id of the vocabulary.
+    A file is named by the partition that it holds; store the files before they are read, as `stored` does, so that the
+    name is settled.
     """
     small_batches(docs.sparkSession)
     shared = vocabulary(docs, path)
@@ -36,6 +38,8 @@ def token_files(docs: DataFrame, path: str, eod: int, block: int = BLOCK, id_col
 
     def write(batches):
         bpe, no, have, size, ids, ends, at = tokenizer(shared.value), 0, [], 0, [], [], 0
+        if bpe.kind != "H":
+            raise ValueError("the vocabulary has ids of more than 16 bits")
         if eod in bpe.token:
             raise ValueError(f"the end-of-document id {eod} is a token")
         closing = np.array([eod], np.uint16).tobytes()
@@ -63,11 +67,17 @@ def token_files(docs: DataFrame, path: str, eod: int, block: int = BLOCK, id_col
                 if size >= block:
                     yield from cut(False)
         yield from cut(True)
+        bpe.forget()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(write, "block long, tokens binary, doc_ids array<long>").withColumn("file", F.spark_partition_id())
 
 
+def stored(files: DataFrame) -> DataFrame:
+    """The token files written into the shared folder, and their blocks read back."""
+    return checkpoint(files)
+
+
 def count_tokens(blocks: DataFrame, eod: int, tails: bool = False) -> DataFrame:
     """Rows (file, block, nth, n_tokens, doc_id): the nth document that ends in a block, without its separator.
 
