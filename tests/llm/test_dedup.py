@@ -202,10 +202,90 @@ def test_line_dedup_broadcast_is_bounded_by_numbers(spark, monkeypatch):
     real = L.sized
 
     def sized(df, rows=None):
-        if "drop" in df.columns:
+        if df.columns == ["doc_key", "drop"]:
             seen["rows"] = rows
         return real(df, rows)
 
     monkeypatch.setattr(L, "sized", sized)
     out = L.dedup_lines(frame(spark, ["\n".join(["a line that is repeated"] * 9)] * 2)).collect()
     assert sorted(r["n_dropped"] for r in out) == [8, 9] and seen == {"rows": 17}
+
+
+def test_components_of_a_long_chain_take_few_rounds(spark, monkeypatch):
+    from tiffin.llm import _spark
+
+    real, calls = _spark.checkpoint, []
+    monkeypatch.setattr(_spark, "checkpoint", lambda df: calls.append(1) or real(df))
+    n = 3000
+    edges = spark.createDataFrame([(i, i + 1) for i in range(n)], "a long, b long")
+    got = components(edges).collect()
+    assert len(got) == n + 1 and {r["component"] for r in got} == {0}
+    assert len(calls) <= 3 * 14  # at most three tables a round
+
+
+def similar_pair(rng, n, share):
+    """Two lines of n characters with a similarity of about `share`: the second begins with other characters."""
+    draw = lambda k: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=k))
+    a = draw(n).replace("  ", " a")
+    m = n - L.WIDTH + 1
+    other = round(m * (1 - share) / (1 + share))
+    return a, draw(other) + a[other:]
+
+
+@pytest.mark.parametrize("n", [30, 60, 120, 300, 1000])
+def test_band_recall(n):
+    rng = random.Random(n)
+    pairs = [similar_pair(rng, n, rng.uniform(0.8, 0.86)) for _ in range(1500)]
+    grams = [[{x[k : k + L.WIDTH] for k in range(len(x) - L.WIDTH + 1)} for x in p] for p in pairs]
+    good = [len(a & b) >= 0.8 * len(a | b) for a, b in grams]
+    met = (L.band_keys([a for a, _ in pairs]) == L.band_keys([b for _, b in pairs])).any(axis=1)
+    assert sum(good) > 500 and np.mean(met[good]) >= 0.99
+
+
+def test_line_dedup_of_a_crowded_band(spark, monkeypatch):
+    """Blocks of a few lines each: every two of them meet."""
+    monkeypatch.setattr(L, "BLOCK_LINES", 3)
+    rng = random.Random(21)
+    base = "".join(rng.choices("abcdefghij klmn", k=150)).strip()
+    rows = []
+    for i in range(40):
+        x = base
+        for _ in range(i % 4):
+            k = rng.randrange(10, 140)
+            x = x[:k] + rng.choice("xyz") + x[k + 1 :]
+        rows.append((i, x))
+    gone = line_want(rows)
+    got = {r["doc_id"]: r["text"] for r in L.dedup_lines(frame(spark, [t for _, t in rows], [i for i, _ in rows])).collect()}
+    assert got == {i: "" if (i, 0) in gone else t for i, t in rows}
+
+
+def test_common_shingles_in_runs(monkeypatch):
+    """Counts do not depend on how shingles are dealt into runs and columns."""
+    rng = random.Random(5)
+    lines = ["".join(rng.choices("abc", k=rng.randint(8, 90))) for _ in range(20)]
+    want = [[len({x[i : i + 8] for i in range(len(x) - 7)} & {y[i : i + 8] for i in range(len(y) - 7)}) for y in lines] for x in lines]
+    for cells, chars in ((1 << 20, 1 << 20), (60, 1 << 20), (60, 20)):
+        monkeypatch.setattr(L, "CELLS", cells)
+        monkeypatch.setattr(L, "BLOCK_CHARS", chars)
+        sizes, common = L._common(lines)
+        for i in range(20):
+            assert sizes[i] == want[i][i]
+            assert [int(c) for j, c in enumerate(common[i]) if j != i] == [c for j, c in enumerate(want[i]) if j != i]
+
+
+def test_line_dedup_clashing_names(spark):
+    line = "this very line is repeated in several documents"
+    df = spark.createDataFrame([(1, line, "a", "b", 3), (2, line, "c", "d", 4)], "doc_id long, text string, doc_key string, drop string, n_dropped int")
+    out = L.dedup_lines(df)
+    assert out.columns == ["doc_id", "text", "doc_key", "drop", "n_lines", "n_dropped"]
+    assert sorted(tuple(r) for r in out.collect()) == [(1, line, "a", "b", 1, 0), (2, "", "c", "d", 1, 1)]
+
+
+def test_set_join_of_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(S, "BLOCK", 2)
+    monkeypatch.setattr(S, "BLOCK_TOKENS", 50)
+    texts = corpus(8, 80)
+    got = {r["doc_id"]: r["component_id"] for r in S.similar_components(frame(spark, texts), 3, 0.7).collect()}
+    s = [sets(t, 3) for t in texts]
+    root = union_find(len(s), [(i, j) for i in range(len(s)) for j in range(i) if 10 * len(s[i] & s[j]) >= 7 * len(s[i] | s[j])])
+    assert got == {i: min(j for j in range(len(s)) if root[j] == root[i]) for i in range(len(s))}

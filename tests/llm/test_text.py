@@ -101,9 +101,9 @@ def test_token_counts(spark, block):
     from tokenizers import Tokenizer
 
     lib = Tokenizer.from_file(word_vocabulary())
-    texts = ["", None, "one", "two words", *ODD[3:], "long " * 400, "", "end"]
+    texts = ["", None, "one", "two words", *ODD, "<|endoftext|><|endoftext|> a <|endoftext|>", "long " * 400, "", "end"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
-    blocks = tokencount.token_files(docs, word_vocabulary(), END_OF_DOCUMENT, block).cache()
+    blocks = tokencount.stored(tokencount.token_files(docs, word_vocabulary(), END_OF_DOCUMENT, block))
     got = {r["doc_id"]: r["n_tokens"] for r in tokencount.count_tokens(blocks, END_OF_DOCUMENT).collect()}
     assert got == {i: len(lib.encode(t or "", add_special_tokens=False).ids) for i, t in enumerate(texts)}
 
@@ -224,3 +224,131 @@ LONG = "This is real text of an article that goes on for long enough to be conte
 )
 def test_html_drops_nothing_else(page, want):
     assert htmlextract.main_text(page) == "\n\n".join(want)
+
+
+def test_decontamination_leaves_columns(spark):
+    item = " ".join(f"w{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, f"clean text {item[:9]}", 999, "s", 7), (2, f"x {item} y", 998, "t", 8)], "doc_id long, text string, n_words int, hit_spans string, n_hit int")
+    bench = spark.createDataFrame([(1, item)] * 50 + [(None, item), (2, None)], "item_id long, text string")
+    assert [tuple(r) for r in decontaminate.decontaminate(docs, bench).collect()] == [(1, f"clean text {item[:9]}", 999, "s", 7)]
+    cut = sorted(tuple(r) for r in decontaminate.decontaminate(docs, bench, mode="spans").collect())
+    assert cut == [(1, f"clean text {item[:9]}", 999, "s", 7), (2, "x  y", 998, "t", 8)]
+    out = decontaminate.contamination(docs, bench).where("doc_id = 2").first()
+    assert (out["n_words"], out["n_hit"], out["n_items"], out["items_sha256"], out["hit_spans"]) == (22, 20, 2, decontaminate.digest(["", 1]), "t")
+
+
+def test_decontamination_of_long_items(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "PIECE_BYTES", 200)
+    rng = random.Random(4)
+    v = [f"w{i}" for i in range(400)]
+    items = [(i, " ".join(rng.choices(v, k=n))) for i, n in enumerate([300, 27, 500, 3])]
+    words = items[0][1].split()
+    texts = [" ".join(rng.choices(v, k=80) + words[i : i + 14]) for i in range(0, 280, 7)] + [items[2][1], items[3][1]]
+    docs, bench = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {r[0]: tuple(r)[1:] for r in decontaminate.contamination(docs, bench).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()}
+    assert got == {i: contaminated_want(t, items) for i, t in enumerate(texts)}
+
+
+def test_bpe_clashing_names_and_large_vocabularies(spark, tmp_path):
+    import json
+
+    docs = spark.createDataFrame([(1, "two words", 5, "x")], "doc_id long, text string, ids int, text_to_encode string")
+    out = bpe.bpe_encode(docs, word_vocabulary())
+    assert sorted(out.columns) == ["decoded", "doc_id", "ids", "n_tokens", "text", "text_to_encode"] and len(out.first()["ids"]) == 2
+    with open(word_vocabulary()) as f:
+        spec = json.load(f)
+    word = next(t for t, i in spec["model"]["vocab"].items() if t == "words</w>")
+    spec["model"]["vocab"][word] = 70_000
+    large = tmp_path / "large.json"
+    large.write_text(json.dumps(spec))
+    assert 70_000 in bpe.bpe_encode(docs, str(large)).first()["ids"]
+    with pytest.raises(Exception, match="16 bits"):
+        tokencount.token_files(docs, str(large), END_OF_DOCUMENT).collect()
+
+
+def test_equal_texts_follow_each_other(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 20)
+    rows = [(i, f"copy {i % 3}" if i % 2 else f"own {i:05d}", "a", "s") for i in range(600)] + [(7, "the same row", "a", "s")] * 200
+    got = sharding.hilbert_shards(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), 8).collect()
+    ordered = sorted(got, key=lambda r: (r["shard"], r["slot"]))
+    runs = [x for i, x in enumerate(ordered) if i == 0 or x["text_crc32"] != ordered[i - 1]["text_crc32"]]
+    assert len(ordered) == 800 and len(runs) == len({r["text_crc32"] for r in got})
+
+
+def page_of(rng):
+    """A page with known main text."""
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9)))
+    sentence = lambda n: " ".join(word() for _ in range(n)).capitalize() + "."
+    title, paragraphs = sentence(5), [sentence(rng.choice([3, 12, 40, 90])) for _ in range(rng.randint(2, 7))]
+    paragraphs[0] = sentence(60)
+    links = "".join(f"<li><a href='/{word()}'>{word()}</a></li>" for _ in range(6))
+    wrap = rng.choice([("<article>", "</article>"), ("<main>", "</main>"), ("<div class='post-body'>", "</div>")])
+    ad = f"<div class='{rng.choice(['ad', 'ad-slot', 'sponsored'])}'>{sentence(8)}</div>"
+    body = "".join(f"<p>{p}</p>" + (ad if rng.random() < 0.2 else "") for p in paragraphs)
+    notes = f"<div class='comment-list'><p>{sentence(30)}</p></div><aside><p>{sentence(20)}</p></aside>"
+    page = f"<html><head><title>{word()}</title></head><body><nav><ul>{links}</ul></nav>{ad}{wrap[0]}<h1>{title}</h1>{body}{wrap[1]}{notes}<footer>{sentence(9)}</footer></body></html>"
+    return page, "\n\n".join([title, *paragraphs])
+
+
+def test_extraction_of_known_pages(spark):
+    rng = random.Random(17)
+    known = [page_of(rng) for _ in range(150)]
+    pages = spark.createDataFrame([(i, p) for i, (p, _) in enumerate(known)] + [(-1, None), (-2, "")], "page_id long, html string")
+    weights = htmlextract.fit(pages)
+    got = {r["page_id"]: r["text"] for r in htmlextract.extract_text(pages, ("page_id",), weights=weights).collect()}
+    assert got[-1] == got[-2] == "" and np.mean([got[i] == t for i, (_, t) in enumerate(known)]) >= 0.98
+    counts = htmlextract.decided_by_cut(pages, weights).first()
+    assert counts["turned"] > 0
+    assert htmlextract.fit(pages.limit(0)) == htmlextract.PRIOR
+
+
+def test_the_cut_decides_short_paragraphs():
+    page = f"<div id=x><p>{LONG}</p><p>Yes</p><p>{LONG}</p></div><div id=y><p>Yes</p></div>"
+    blocks = htmlextract.read_blocks(page)
+    scores, sides = htmlextract.label(blocks)
+    assert scores[1] < 0 and sides == [True, True, True, False]
+
+
+def test_scores_are_brute_force(spark):
+    docs, labels, _ = labelled(spark)
+    model = toxicity.train(docs, labels)
+    for text in ["", "ab", "Zblorg is a word", "kwixmu " * 50, "été" * 20]:
+        low, total, count = text.lower(), 0.0, 0
+        for size in toxicity.SIZES:
+            for i in range(len(low) - size + 1):
+                h = 0
+                for k, c in enumerate(low[i : i + size]):
+                    h = (h + ord(c) * int(toxicity._A[k])) % (1 << 64)
+                total += float(model.weights[(h ^ h >> 29) * int(toxicity._B) % (1 << 64) >> 64 - toxicity.BITS])
+                count += 1
+        assert toxicity.weigh([text], model.weights)[0] == pytest.approx(total / max(count, 1) ** 0.5, abs=1e-6)
+    texts = ["", "Abc 12, x!\nx x", "same same same Ü", " a  b "]
+    import pyarrow as pa
+
+    from tiffin.llm._arrow import text_bytes
+
+    got = quality.statistics(*text_bytes(pa.array(texts)))
+    for x, t in zip(got, texts):
+        raw, words = t.encode(), t.lower().split()
+        share = [sum(quality._CLASS[b] == k for b in raw) / max(len(raw), 1) for k in range(10)]
+        same = [sum(a == b for a, b in zip(words, words[k:])) / max(len(words), 1) for k in (1, 2, 3)]
+        size = [len(w.encode()) for w in words]
+        want = [*share, *np.sqrt(share), *same, same[0] ** 0.5, sum(size) / max(len(words), 1) / 10, sum(n == 1 for n in size) / max(len(words), 1)]
+        assert x == pytest.approx(want)
+
+
+def test_quality_threshold_is_the_share_of_all_labels(spark):
+    docs, labels, rows = labelled(spark)
+    whole = quality.train(docs, labels)
+    few = quality.train(docs, labels, per_class=40)
+    out = quality.score_quality(docs.where("doc_id > 0"), few).select("predicted").collect()
+    bad = np.mean([q == 0 for _, q, _ in rows])
+    assert abs(np.mean([r[0] == 0 for r in out]) - bad) < 0.06 and whole.slope != 0
+
+
+def test_one_text_of_an_id_trains(spark):
+    docs = spark.createDataFrame([(1, "a")] * 500 + [(1, "b"), (5, "c")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (5, 0)], "doc_id long, quality int")
+    from tiffin.llm._learn import training_sample
+
+    assert sorted((r["text"], r["y"]) for r in training_sample(docs, labels, "quality", 10).collect()) == [("a", 1), ("c", 0)]

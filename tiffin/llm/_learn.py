@@ -30,7 +30,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
 def class_sizes(labels: DataFrame, label: str, id_col: str = "doc_id") -> tuple[int, int]:
     """How many documents that are not held out have label 0 and label 1."""
     known = labels.where(F.col(id_col).isNotNull() & F.col(label).isin(0, 1) & ~held_out(id_col)).groupBy(id_col).agg(F.max(label).alias("y"))
-    row = known.agg(F.count_if("y = 0"), F.count_if("y = 1")).first()
+    row = known.agg(F.count_if(F.col("y") == 0), F.count_if(F.col("y") == 1)).first()
     return row[0], row[1]
 
 
