@@ -297,11 +297,15 @@ def test_extraction_of_known_pages(spark):
     weights = htmlextract.fit(pages)
     got = {r["page_id"]: r["text"] for r in htmlextract.extract_text(pages, ("page_id",), weights=weights).collect()}
     assert got[-1] == got[-2] == "" and np.mean([got[i] == t for i, (_, t) in enumerate(known)]) >= 0.98
-    counts = htmlextract.decided_by_cut(pages, weights).first()
-    assert counts["turned"] > 0
     assert htmlextract.fit(pages.limit(0)) == htmlextract.PRIOR
 
 
+def test_the_cut_decides_blocks_of_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    counts = htmlextract.decided_by_cut(pages, htmlextract.fit(pages)).first()
+    assert counts["blocks"] > 40_000 and counts["turned"] > 100
+
+
 def test_the_cut_decides_short_paragraphs():
     page = f"<div id=x><p>{LONG}</p><p>Yes</p><p>{LONG}</p></div><div id=y><p>Yes</p></div>"
     blocks = htmlextract.read_blocks(page)
@@ -347,8 +351,8 @@ def test_quality_threshold_is_the_share_of_all_labels(spark):
 
 
 def test_one_text_of_an_id_trains(spark):
-    docs = spark.createDataFrame([(1, "a")] * 500 + [(1, "b"), (5, "c")], "doc_id long, text string")
-    labels = spark.createDataFrame([(1, 1), (5, 0)], "doc_id long, quality int")
+    docs = spark.createDataFrame([(1, "a")] * 500 + [(1, "b"), (6, "c")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (6, 0)], "doc_id long, quality int")
     from tiffin.llm._learn import training_sample
 
     assert sorted((r["text"], r["y"]) for r in training_sample(docs, labels, "quality", 10).collect()) == [("a", 1), ("c", 0)]
