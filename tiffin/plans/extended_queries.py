@@ -8,17 +8,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tiffin.functions import expr as X
-from tiffin.operators import cdc
+from tiffin.operators import cdc, cep
 from tiffin.operators import curated as C
 from tiffin.operators import gold as G
 from tiffin.operators import quality as Q
 from tiffin.operators import rollup as R
 from tiffin.operators.joins import not_in
 from tiffin.plans import binding as B
-from tiffin.plans.operator_queries import _CITY, scratch
+from tiffin.plans.operator_queries import _CITY, _EMA, _placed, scratch
 from tiffin.plans.queries import _RAW, _register, curated
 from tiffin.sources import readers, sinks
-from tiffin.streaming import streams
+from tiffin.streaming import stateful, streams
 
 T = B.table
 
@@ -394,3 +394,88 @@ def _(s, d):
     flat = streams.flatten_events(_app(_stream(s, d)))
     out = _run(streams.streaming_rollup(flat, "event_timestamp", ["city"])).where(F.col("time") < F.lit("2024-01-20").cast("timestamp"))
     return out.select("time", "city", "count", F.round("total_revenue", 4).alias("total_revenue"), F.theta_sketch_estimate("users").alias("users"))
+
+
+@_register("stream_cancel_anomaly_closed", "with recursive x as (select 1)" + _EMA.replace("select city, window_start, n, round(base, 6) as baseline from r where", "select city, window_start, n, round(base, 6) as baseline from r where window_start < timestamp '2024-01-20' and"))
+def _(s, d):
+    """The stream's anomalies among the windows before a day that the watermark has passed."""
+    from tiffin.plans.operator_queries import _app, _run, _stream
+
+    e = _app(_stream(s, d)).where("event_type = 'ORDER_CANCELLED'").select(F.col("location")["city"].alias("city"), "timestamp")
+    counts = streams.cancellation_counts(e, "city", "timestamp", "6 hours", "1 hour")
+    s.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    out = _run(stateful.ema_anomalies(counts, "city", spike=1.5, least=2)).where(F.col("window_start") < F.lit("2024-01-20").cast("timestamp"))
+    return out.select("city", "window_start", "n", F.round("baseline", 6).alias("baseline"))
+
+
+# --- more sources, alerts and columns ----------------------------------------------------------------------------------------
+
+
+@_register("q_federated_join", "select n_name, c_mktsegment, count(*) as orders, sum(o_totalprice::decimal(12,2))::double as total from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey group by 1, 2")
+def _(s, d):
+    """Orders from Parquet, customers from ORC and nations from JSON lines, in one plan."""
+    base = f"{scratch(s)}/federated-{uuid.uuid4().hex}"
+    T(s, d, "customer").write.orc(f"{base}/customer")
+    T(s, d, "nation").write.json(f"{base}/nation")
+    customer = readers.lake_table(s, f"{base}/customer", "orc").select("c_custkey", "c_mktsegment", "c_nationkey")
+    nation, _ = readers.read_json(s, f"{base}/nation", "n_nationkey int, n_name string")
+    o = T(s, d, "orders").select("o_custkey", F.col("o_totalprice").cast("decimal(12,2)").alias("price"))
+    day = o.groupBy("o_custkey").agg(F.count("*").alias("n"), F.sum("price").alias("t"))
+    j = day.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    return j.groupBy("n_name", "c_mktsegment").agg(F.sum("n").alias("orders"), F.sum("t").cast("double").alias("total"))
+
+
+@_register("q_json_paths", "select event_id, json_extract_string(props, '$.k')::bigint as k, json_extract_string(props, '$.missing.deep') as deep from events")
+def _(s, d):
+    return T(s, d, "events").select("event_id", *(c.alias(n) for n, c in X.json_paths("props", {"k": ("$.k", "bigint"), "deep": ("$.missing.deep", "string")}).items()))
+
+
+@_register("q_order_events", "select event_id, case when event_type in ('view', 'error') then null else upper(event_type) end as event_type, case when event_id % 2 = 0 then value else value * 2 end as amount, case when event_id % 3 = 0 then timestamp '2024-01-01 00:00:01' else timestamp '2024-01-01 00:00:02' end as event_time from events")
+def _(s, d):
+    """Typed order events from JSON text: enumerated types, effective amounts and times, spellings that stand in."""
+    first = F.unix_millis(F.lit("2024-01-01 00:00:01").cast("timestamp"))
+    event = F.struct("event_id", F.concat(F.lit(" "), "event_type").alias("eventType"), F.when(F.col("event_id") % 2 == 0, F.col("value")).alias("order_amount"), (F.col("value") * 2).alias("total_amount"), F.when(F.col("event_id") % 3 == 0, first).otherwise(0).alias("timestamp"), (first + 1000).alias("updated_at"))
+    rows = readers.parse_events(T(s, d, "events").select(F.to_json(event).alias("value")), "event_id bigint, event_type string, order_amount double, total_amount double, timestamp bigint, updated_at bigint", aliases={"event_type": "eventType"})
+    kinds = ["PURCHASE", "CLICK", "SIGNUP"]
+    return rows.select("event_id", X.parse_enum(F.col("event_type"), kinds).alias("event_type"), X.effective_amount(F.col("order_amount"), F.col("total_amount")).alias("amount"), X.event_time(F.col("timestamp"), F.col("updated_at")).alias("event_time"))
+
+
+@_register("q_fraud_alerts", """with o as (select user_id::varchar as user_id, event_id::varchar as order_id, ts, 'street ' || (event_id % 3) as a from events where event_type in ('purchase', 'click')),
+w as (select o.user_id, o.order_id, o.ts, string_agg(distinct p.a, ',' order by p.a) as distinct_addresses, string_agg(p.order_id, ',' order by p.order_id) as order_ids, count(distinct p.a) as n from o join o p on o.user_id = p.user_id and p.ts between o.ts - interval 5 minutes and o.ts group by 1, 2, 3)
+select user_id, order_id, order_ids, distinct_addresses, strftime(ts, '%Y-%m-%d') as dt from w where n >= 2""")
+def _(s, d):
+    """The alert table's columns, with the orders of each alert and its date."""
+    out = cep.multi_address_fraud(_placed(s, d))
+    return out.select("user_id", "order_id", "order_ids", "distinct_addresses", F.date_format("window_end", "yyyy-MM-dd").alias("dt"))
+
+
+@_register("q_session_places", "select user_id, min(ts) as start, string_agg(value::varchar, ';' order by ts, value) as places from (select user_id, ts, round(value, 2)::decimal(12,2) as value from events) group by 1")
+def _(s, d):
+    e = T(s, d, "events").select("user_id", "ts", F.round("value", 2).cast("decimal(12,2)").alias("latitude"), F.lit(0).alias("longitude"))
+    out = cep.session_summary(e)
+    return out.select("user_id", "start", F.array_join(F.transform("places", lambda p: p["latitude"].cast("string")), ";").alias("places"))
+
+
+@_register("q_curated_times", "select order_id, epoch(order_delivered_at - order_accepted_at) / 60.0 as accept_to_deliver_min, (total_amount * (1 - coalesce((select rate from rest e where e.restaurant_id = c.restaurant_id), 0.2)))::decimal(12,2)::double as restaurant_payout, actual_delivery_min > 30 as is_late_delivery from c", _RAW)
+def _(s, d):
+    return curated(s, d).select("order_id", "accept_to_deliver_min", F.col("restaurant_payout").cast("double"), "is_late_delivery")
+
+
+@_register("q_merge_upsert_table", "select c_custkey as id, case when c_custkey % 4 = 1 then 'new' else 'base' end as status from customer where c_custkey % 4 <> 2")
+def _(s, d):
+    """A table of hash buckets: loaded, then changed and partly deleted; read back from its files."""
+    path = f"{scratch(s)}/upsert-{uuid.uuid4().hex}"
+    base = T(s, d, "customer").selectExpr("c_custkey as id", "'base' as status", "1L as at", "'INSERT' as op_type")
+    sinks.upsert(s, base, path, ["id"], ["at"], buckets=8)
+    changes = base.where("id % 4 in (1, 2)").selectExpr("id", "'new' as status", "2L as at", "if(id % 4 = 2, 'DELETE', 'UPDATE') as op_type")
+    sinks.upsert(s, changes, path, ["id"], ["at"], buckets=8)
+    return s.read.parquet(path).select("id", "status")
+
+
+@_register("q_compact", "select strftime(ts, '%Y-%m-%d') as dt, count(*) as record_count, 1::bigint as file_count from events group by 1")
+def _(s, d):
+    """A partitioned table of many small files, rewritten into one file a partition, then its health."""
+    base = f"{scratch(s)}/compact-{uuid.uuid4().hex}"
+    T(s, d, "events").withColumn("dt", F.date_format("ts", "yyyy-MM-dd")).repartition(4).write.partitionBy("dt").parquet(f"{base}/in")
+    sinks.compact(s, f"{base}/in", f"{base}/out", "dt", sort_by=["event_id"])
+    return sinks.file_health(s, f"{base}/out", "dt").select(F.col("dt").cast("string").alias("dt"), "record_count", "file_count")
