@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 
 import numpy as np
@@ -10,6 +11,14 @@ import pyarrow as pa
 #: Bytes of text handled at once; keeps numpy temporaries near the CPU caches and bounds memory.
 SLICE = 1 << 17
 
+# Workers go on to other tasks, so large buffers are to go back to the system when they are freed: they are mapped one by
+# one (mallopt's threshold for that, -3, else grows), by the system's allocator.
+pa.set_memory_pool(pa.system_memory_pool())
+try:
+    ctypes.CDLL(None).mallopt(-3, 2 << 20)
+except (OSError, AttributeError):  # another C library
+    pass
+
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _P = 0x9E3779B97F4A7C15 | 1
 _P_INV = pow(_P, -1, 1 << 64)

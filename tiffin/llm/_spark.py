@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 #: Rows of a few plain columns that may be broadcast; beyond that the join is shuffled.
 BROADCAST_ROWS = 1_000_000
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def scratch_folder(spark: SparkSession) -> str:

@@ -32,7 +32,7 @@ from ._arrow import texts
 from ._spark import free_names, small_batches
 
 #: Words that a task remembers; bytes of text encoded at once.
-REMEMBERED, TEXTS = 40_000, 1 << 17
+REMEMBERED, TEXTS = 100_000, 1 << 17
 END = "</w>"
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
@@ -75,8 +75,10 @@ class WordBpe:
             if n > 2:
                 self.longest[t[:3]] = max(self.longest.get(t[:3], 3), n)
         self.judged: dict[int, bool] = {}
-        self.known: dict[str, tuple[int, bytes, str, str]] = {}
-        self.older: dict[str, tuple[int, bytes, str, str]] = {}
+        self.known: dict[str, bytes] = {}  # ids of words, as integers of `kind`
+        self.older: dict[str, bytes] = {}
+        self.names = [self.token.get(i, "") for i in range(max(self.token, default=-1) + 1)]
+        self.numbers = [str(i) for i in range(len(self.names))]
 
     def forget(self) -> None:
         """Give up the words met, so that a worker that goes on to other work holds the vocabulary alone."""
@@ -171,10 +173,10 @@ class WordBpe:
         for w, s, t, ok in zip(words, symbols, tokens, right.tolist()):
             if not ok:
                 t = self.merge([*s[:-1], s[-1] + END])
-            self.known[w] = (len(t), array(self.kind, t).tobytes(), " ".join(map(str, t)), " ".join([self.token[x] for x in t]))
+            self.known[w] = array(self.kind, t).tobytes()
 
-    def encode_batch(self, texts: list[str]) -> list[list[tuple[int, bytes, str, str]]]:
-        """For every text, the entries of its words: number of tokens, ids as 16-bit integers (32-bit, if need be), ids and tokens as text."""
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        """For every text its ids, as 16-bit integers (32-bit, if need be)."""
         pieces = []
         for text in texts:
             if self.split and "<|" in text and (cut := self.split.split(text))[1:]:
@@ -192,12 +194,14 @@ class WordBpe:
             fresh -= again
         if fresh:
             for s in fresh & self.special.keys():
-                t = self.special[s]
-                self.known[s] = (1, array(self.kind, [t]).tobytes(), str(t), s)
+                self.known[s] = array(self.kind, [self.special[s]]).tobytes()
             if words := list(fresh - self.special.keys()):
                 self.learn(words)
         known = self.known
-        return [[known[w] for w in p] for p in pieces]
+        return [b"".join([known[w] for w in p]) for p in pieces]
+
+    def ids(self, raw: bytes) -> list[int]:
+        return array(self.kind, raw).tolist()
 
 
 @functools.lru_cache(maxsize=1)
@@ -246,11 +250,11 @@ def bpe_encode(docs: DataFrame, path: str, outputs: tuple[str, ...] = ("n_tokens
     shared, names = vocabulary(docs, path), [*keep, *outputs]
     # fmt: off
     make = {
-        "n_tokens": (pa.int64(), lambda e: sum([x[0] for x in e])),
-        "ids": (pa.list_(pa.int32()), lambda e: [int(i) for x in e for i in x[2].split(" ")]),
-        "decoded": (pa.string(), lambda e: " ".join([x[3] for x in e])),
-        "ids_sha256": (pa.string(), lambda e: hashlib.sha256(" ".join([x[2] for x in e]).encode()).hexdigest()),
-        "decoded_sha256": (pa.string(), lambda e: hashlib.sha256(" ".join([x[3] for x in e]).encode()).hexdigest()),
+        "n_tokens": (pa.int64(), lambda bpe, e: len(e)),
+        "ids": (pa.list_(pa.int32()), lambda bpe, e: e),
+        "decoded": (pa.string(), lambda bpe, e: " ".join([bpe.names[i] for i in e])),
+        "ids_sha256": (pa.string(), lambda bpe, e: hashlib.sha256(" ".join([bpe.numbers[i] for i in e]).encode()).hexdigest()),
+        "decoded_sha256": (pa.string(), lambda bpe, e: hashlib.sha256(" ".join([bpe.names[i] for i in e]).encode()).hexdigest()),
     }
     # fmt: on
 
@@ -258,8 +262,8 @@ def bpe_encode(docs: DataFrame, path: str, outputs: tuple[str, ...] = ("n_tokens
         bpe = tokenizer(shared.value)
         for b in batches:
             for at, some in text_batches(b.column(b.num_columns - 1)):
-                entries = bpe.encode_batch(some)
-                made = [pa.array([make[o][1](e) for e in entries], make[o][0]) for o in outputs]
+                ids = [bpe.ids(raw) for raw in bpe.encode_batch(some)]
+                made = [pa.array([make[o][1](bpe, e) for e in ids], make[o][0]) for o in outputs]
                 yield pa.RecordBatch.from_arrays([*(c.slice(at, len(some)) for c in b.columns[:-1]), *made], names=names)
         bpe.forget()
 

@@ -58,8 +58,8 @@ def token_files(docs: DataFrame, path: str, eod: int, block: int = BLOCK, id_col
         for b in batches:
             doc_ids = b.column(0).to_pylist()
             for first, some in text_batches(b.column(1)):
-                for k, entries in enumerate(bpe.encode_batch(some)):
-                    run = b"".join([e[1] for e in entries]) + closing
+                for k, raw in enumerate(bpe.encode_batch(some)):
+                    run = raw + closing
                     have.append(run)
                     size += len(run) // 2
                     ids.append(doc_ids[first + k])
