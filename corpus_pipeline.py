@@ -1,7 +1,14 @@
 """A corpus pipeline of five stages: quality, line dedup, near-duplicate join, decontamination, tokenising.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes each as Parquet into the shared folder
-and gives the next stage what it reads back. All stages but the last return the columns of `documents`.
+and gives the next stage what it reads back. All stages but the last return the columns of `documents`, and any others that
+`docs` has, whatever their names.
+
+Defined cases: an empty table gives an empty table. A null text counts as an empty one: it gets the quality score of
+one, loses no line, is similar to nothing, is clean, and has no tokens; it stays null until the last stage. Null ids,
+sources and languages are values like others; a null id comes last where the smallest stays. Rows that repeat wholly
+are judged alike; the join keeps one of them if they have words, and all if they have none. Texts of any length are
+taken whole.
 """
 
 from __future__ import annotations
