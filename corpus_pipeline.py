@@ -27,17 +27,25 @@ from tiffin.llm.queries import word_vocabulary
 from tiffin.llm.setjoin import similar_components
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, row): the columns other than the text go in one, so that no name of theirs clashes."""
+    return docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("row"))
+
+
+def _unpacked(packed: DataFrame, columns: list[str]) -> DataFrame:
+    return packed.select(*(F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in columns))
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality model, trained on the labelled rows of the stage's input, does not reject."""
-    model = _quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _quality.score_quality(docs, model).where("predicted = 1").select(*docs.columns)
+    model = _quality.train(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return _unpacked(_quality.score_quality(_packed(docs), model).where("predicted = 1"), docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated lines; n_chars follows the new text. A document that lost all its lines goes."""
-    out = dedup_lines(docs)
-    out = out.where("n_dropped = 0 or length(text) > 0")
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    out = dedup_lines(_packed(docs)).where("n_dropped = 0 or length(text) > 0")
+    return _unpacked(out, docs.columns).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,15 +53,15 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     Rows are named by a hash of id and text; of rows with the same name, the smallest stays.
     """
-    keyed = docs.withColumn("_key", F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.lit("|"), "text"))
+    keyed = _packed(docs).withColumn("_key", F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.lit("|"), "text"))
     groups = checkpoint(similar_components(keyed, width=5, threshold=0.8, id_col="_key").withColumnRenamed("doc_id", "_key"))
     named = groups.where("n_shingles > 0").groupBy("_key").agg(F.min("component_id").alias("component"), F.count("*").alias("_rows"))
     place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "_key", "_rows")
     first = keyed.select("_key", "doc_id").join(sized(checkpoint(named)), "_key").groupBy("component").agg(F.min(place).alias("first"))
     wordless = groups.where("n_shingles = 0").select("_key", F.lit(1).cast("long").alias("_rows")).distinct()
     kept = keyed.join(sized(checkpoint(first.select("first._key", "first._rows").union(wordless))), "_key")
-    repeated = kept.where("_rows > 1").groupBy("_key").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
-    return kept.where("_rows = 1").select(*docs.columns).union(repeated)
+    repeated = kept.where("_rows > 1").groupBy("_key").agg(F.min(F.struct("text", "row")).alias("one")).select("one.*")
+    return _unpacked(kept.where("_rows = 1").select("text", "row").union(repeated), docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
