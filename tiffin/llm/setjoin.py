@@ -28,9 +28,9 @@ from ._arrow import SPACES, Words, mix, shingles, slices, text_bytes
 from ._spark import checkpoint, components, partitions, repeated_keys, sized, small_batches
 
 #: Members and tokens of a block, the unit in which a group is stored and opened.
-BLOCK, BLOCK_TOKENS = 64, 1 << 19
+BLOCK, BLOCK_TOKENS = 512, 1 << 19
 #: Tokens of the queries that one task compares with a block at a time.
-QUERY_TOKENS = 400_000
+QUERY_TOKENS = 1 << 21
 #: Sets whose keys a task remembers to have given out already.
 REMEMBERED = 1_000_000
 
