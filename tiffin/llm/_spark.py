@@ -42,7 +42,17 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """
     path = f"{scratch_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.table_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that checkpoint() wrote, once nothing reads them any more."""
+    for table in tables:
+        jvm = table.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table.table_path)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def sized(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:

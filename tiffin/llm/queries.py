@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .bpe import bpe_encode
 from .decontaminate import contamination
 from .exactdedup import exact_duplicates
+from .hardneg import hard_negatives
 from .htmlextract import op6
 from .linededup import dedup_lines
 from .quality import op10
@@ -15,6 +16,7 @@ from .setjoin import similar_components
 from .sharding import hilbert_shards
 from .tokencount import count_tokens, stored, token_files
 from .toxicity import op2
+from .veccode import coded_vectors
 
 #: Outside the vocabulary, whose ids end at 49407: texts can hold special tokens.
 END_OF_DOCUMENT = 65535
@@ -62,6 +64,16 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_documents(spark, sf_dir))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coded_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), parts=16, entries=64, rounds=2, scale=256.0)
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1,
     "op2_toxicity": op2,
@@ -73,10 +85,33 @@ QUERIES = {
     "op8_bpe_encode_decode": op8,
     "op9_exact_dedup": op9,
     "op10_quality_classifier": op10,
+    "op11_vector_code_compression": op11,
+    "op12_hard_negative_mining": op12,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_VECTORS = """v as materialized (
+  select vec_id, label, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as q from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)"""
+
+
+def _nearest(k: int) -> str:
+    """The nearest entry of each part in the codebooks of round k."""
+    return f"""
+  select vec_id, part, min({{'dist': list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'entry': entry}}) as n
+  from p join b{k} using (part) group by vec_id, part"""
+
+
+def _lloyd(k: int) -> str:
+    """Round k: each part's entry, and the codebooks that follow."""
+    return f"""a{k} as materialized ({_nearest(k)}),
+b{k + 1} as materialized (
+  with m as (select part, n.entry as entry, k, floor(sum(x[k]) / count(*))::bigint as c from a{k} join p using (vec_id, part), (select unnest(range(1, len(x) + 1)) as k) group by all),
+  l as (select part, entry, list(c order by k) as c from m group by part, entry)
+  select part, entry, coalesce(l.c, b.c) as c from b{k} b left join l using (part, entry))"""
+
+
 ORACLE_SQL = {
     "op1_ngram_jaccard_join": f"""
 with recursive words as (
@@ -116,4 +151,27 @@ from dw d left join positions p using (doc_id) left join items i using (doc_id)"
 with n as (select doc_id, {_LOWER} as t from documents)
 select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size, doc_id = max(doc_id) over g as kept, sha256(t) as text_sha256
 from n window g as (partition by t)""",
+    "op11_vector_code_compression": f"""
+with {_VECTORS},
+p as materialized (
+  select vec_id, part, q[part * len(q) // 16 + 1 : (part + 1) * len(q) // 16] as x from v, (select unnest(range(16)) as part)),
+b0 as materialized (select part, dense_rank() over (order by vec_id) - 1 as entry, x as c from p qualify entry < 64),
+{_lloyd(0)},
+{_lloyd(1)},
+a2 as materialized ({_nearest(2)}),
+codes as (select vec_id, string_agg(printf('%02x', n.entry), '' order by part) as code, sum(n.dist)::bigint as error from a2 group by vec_id)
+select vec_id, code, error, sum(error) over (partition by label)::bigint as label_error,
+  (select sha256(string_agg(array_to_string(c, ','), ',' order by part, entry)) from b2) as codebooks_sha256
+from codes join v using (vec_id)""",
+    "op12_hard_negative_mining": f"""
+with {_VECTORS},
+r as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, q::double[] as q from v where label is not null),
+s as materialized (
+  select a.vec_id as a, r.vec_id as b, a.label = r.label as same, list_dot_product(a.q, r.q)::bigint as score
+  from r a, r where a.vec_id % 50 = 0 and a.vec_id <> r.vec_id),
+pos as (select a, b, score from s where same qualify row_number() over (partition by a order by score desc, b) <= 5)
+select pos.a as anchor_id, pos.b as positive_id, row_number() over (partition by pos.a, pos.b order by s.score desc, s.b)::int as rank,
+  s.b as negative_id, pos.score as positive_score, s.score as negative_score
+from pos join s on s.a = pos.a and not s.same and 50 * pos.score <= 100 * s.score and 100 * s.score <= 95 * pos.score
+qualify rank <= 3""",
 }
