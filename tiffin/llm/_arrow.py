@@ -90,11 +90,12 @@ def texts(column: pa.Array):
 
 
 class Words:
-    """The words of some rows: byte spans in `buf`, hashes, and where each row's words begin."""
+    """The words of some rows: byte spans in `buf`, hashes, and where each row's words begin. A-Z are lower-cased if asked."""
 
-    def __init__(self, offsets: np.ndarray, data: np.ndarray, word_bytes: np.ndarray):
+    def __init__(self, offsets: np.ndarray, data: np.ndarray, word_bytes: np.ndarray, lower: bool = True):
         rel = offsets - offsets[0]
-        low = LOWER[data[offsets[0] : offsets[-1]]]
+        low = data[offsets[0] : offsets[-1]]
+        low = LOWER[low] if lower else low
         self.buf = buf = np.insert(low, rel[1:], 0x20)
         inside = np.zeros(len(buf) + 1, np.int8)
         inside[1:] = word_bytes[buf]

@@ -14,6 +14,7 @@ from .linededup import dedup_lines
 from .quality import op10
 from .setjoin import similar_components
 from .sharding import hilbert_shards
+from .substrings import remove_repeats
 from .tokencount import count_tokens, stored, token_files
 from .toxicity import op2
 from .veccode import coded_vectors
@@ -74,6 +75,10 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
 
 
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_documents(spark, sf_dir), window=35, columns=("n_words", "n_removed", "kept_sha256"))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1,
     "op2_toxicity": op2,
@@ -87,6 +92,7 @@ QUERIES = {
     "op10_quality_classifier": op10,
     "op11_vector_code_compression": op11,
     "op12_hard_negative_mining": op12,
+    "op13_substring_dedup": op13,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -174,4 +180,12 @@ select pos.a as anchor_id, pos.b as positive_id, row_number() over (partition by
   s.b as negative_id, pos.score as positive_score, s.score as negative_score
 from pos join s on s.a = pos.a and not s.same and 50 * pos.score <= 100 * s.score and 100 * s.score <= 95 * pos.score
 qualify rank <= 3""",
+    "op13_substring_dedup": """
+with d as materialized (select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from documents),
+win as materialized (
+  select r, unnest(range(1, len(w) - 33)) as i, unnest(list_transform(range(1, len(w) - 33), lambda i: array_to_string(w[i:i+34], ' '))) as g from d where len(w) >= 35),
+hit as (select distinct r, unnest(range(i, i + 35)) as p from win where g in (select g from win group by g having count(*) > 1)),
+words as (select r, unnest(range(1, len(w) + 1)) as p, unnest(w) as x from d),
+kept as (select r, string_agg(x, ' ' order by p) as t, count(*) as n from words anti join hit using (r, p) group by r)
+select doc_id, len(w)::bigint as n_words, len(w) - coalesce(n, 0) as n_removed, sha256(coalesce(t, '')) as kept_sha256 from d left join kept using (r)""",
 }
