@@ -7,7 +7,7 @@ import math
 import duckdb
 import pytest
 
-from tiffin.plans import extended_queries, olap, operator_queries  # noqa: F401
+from tiffin.plans import extended_queries, olap, operator_queries, state_queries  # noqa: F401
 from tiffin.plans import queries as Q
 
 DATA = "/root/testdata/sf0.001"

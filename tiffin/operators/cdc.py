@@ -51,6 +51,31 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: list[str], order:
     return last.where(f"{op} <> 'DELETE'").select(*target.columns)
 
 
+def merge_versions(live: DataFrame, graves: DataFrame, changes: DataFrame, keys: list[str], order: list[str], op: str = "op_type", horizon: str | None = None) -> DataFrame:
+    """The largest version of each key among a table's rows, its graves and changes, deletes as rows with `_gone`.
+
+    A version is the order columns, then whether it is a delete, then a hash of the row, so no two different rows have
+    the same one and the result is a maximum: batches can come in any order, twice or in parts, and give one table.
+    `graves` has the keys and order columns of deleted rows. Where the first order column lies before `horizon`, graves
+    are dropped, and so are changes of keys of which nothing is stored: they might bring a forgotten key back. One
+    shuffle on the keys.
+    """
+    names = live.columns
+    rest = [c for c, t in live.dtypes if c not in keys and c not in order and not t.startswith("map")]
+    blank = [F.col(c) if c in keys or c in order else F.lit(None).cast(t).alias(c) for c, t in live.dtypes]
+    gone = F.col(op).eqNullSafe("DELETE")
+    both = live.select(*names, F.lit(False).alias("_gone"), F.lit(True).alias("_stored"))
+    both = both.union(graves.select(*blank, F.lit(True).alias("_gone"), F.lit(True).alias("_stored")))
+    fresh = changes.select(*(F.col(c) if c in keys or c in order else F.when(~gone, F.col(c)).alias(c) for c in names), gone.alias("_gone"), F.lit(False).alias("_stored"))
+    both = both.union(fresh)
+    version = F.struct(*order, "_gone", F.xxhash64(*rest) if rest else F.lit(0))
+    best = both.groupBy(*keys).agg(F.max_by(F.struct(*names, "_gone"), version).alias("row"), F.max("_stored").alias("_stored"))
+    if horizon is not None:
+        old = F.col(f"row.{order[0]}") < F.lit(horizon).cast(live.schema[order[0]].dataType)
+        best = best.where(~F.coalesce(old & (F.col("row._gone") | ~F.col("_stored")), F.lit(False)))
+    return best.select("row.*")
+
+
 def flatten_change_records(records: DataFrame) -> DataFrame:
     """Typed change records to flat ones: event, table of the ARN, time, and the image's attributes as text.
 

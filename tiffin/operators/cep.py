@@ -2,28 +2,101 @@
 
 from __future__ import annotations
 
+import math
+from collections import deque
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tiffin.functions.expr import fraud_severity, haversine_km, ladder, normalise_address
+from tiffin.operators.tables import broadcast_if_small, written
 
 #: Fixed values of the rules.
 FRAUD_WINDOW, MIN_ADDRESSES = "5 MINUTES", 2
 SPIKE, LEAST, ALPHA = 3.0, 5, 0.3
 
 
-def multi_address_fraud(orders: DataFrame, window: str = FRAUD_WINDOW, least: int = MIN_ADDRESSES) -> DataFrame:
+def sliced(events: DataFrame, ts: str, window: str, slice_: str) -> DataFrame:
+    """`events` cut by time into slices, as `_slice`, each with the rows that a look-back from it reaches as `_before`.
+
+    A row of the last `window` of a slice is also in the next one, so a look-back of a row that is not `_before` sees
+    all it needs inside its slice, and one busy key spreads over as many tasks as it has slices. `slice_` must not be
+    shorter than `window`.
+    """
+    length, reach = _micros(slice_), _micros(window)
+    if length < reach:
+        raise ValueError("a slice must be as long as the window at least")
+    own = F.floor(F.unix_micros(ts) / length)
+    late = F.unix_micros(ts) >= (own + 1) * length - reach
+    places = F.when(late, F.array(F.struct(own.alias("s"), F.lit(False).alias("b")), F.struct((own + 1).alias("s"), F.lit(True).alias("b"))))
+    places = F.coalesce(places, F.array(F.struct(own.alias("s"), F.lit(False).alias("b"))))
+    return events.select("*", F.explode(places).alias("_p")).select(*events.columns, F.col("_p.s").alias("_slice"), F.col("_p.b").alias("_before"))
+
+
+def _micros(interval: str) -> int:
+    return int(pd.Timedelta(interval.lower()) / pd.Timedelta(microseconds=1))
+
+
+def multi_address_fraud(orders: DataFrame, window: str = FRAUD_WINDOW, least: int = MIN_ADDRESSES, slice_: str = "1 hour") -> DataFrame:
     """An alert for each placed order whose user has at least `least` addresses in the window that ends with it.
 
     `orders` has user_id, order_id, ts, status, address. The look-back includes its far end; blank addresses and
     other statuses do not count. Orders of one user at the same instant see each other.
+
+    Users are cut into time slices that overlap by the window; inside one, rows arrive sorted and two pointers pass over
+    them, so a task holds one window of rows, and lists are made for alerts alone.
     """
-    rows = orders.where((F.upper("status") == "PLACED") & (F.length(F.trim("address")) > 0)).withColumn("place", normalise_address(F.col("address")))
-    w = f"over (partition by user_id order by ts range between interval {window} preceding and current row)"
-    rows = rows.selectExpr("user_id", "order_id", "ts", f"array_sort(collect_set(place) {w}) as addresses", f"array_sort(collect_list(order_id) {w}) as order_ids", f"min(ts) {w} as window_start")
-    rows = rows.where(F.size("addresses") >= least)
-    return rows.select("user_id", "order_id", F.array_join("order_ids", ",").alias("order_ids"), F.array_join("addresses", ",").alias("distinct_addresses"), F.size("addresses").alias("address_count"), F.size("order_ids").alias("order_count"), fraud_severity(F.size("addresses"), F.size("order_ids")).alias("severity"), "window_start", F.col("ts").alias("window_end"))
+    rows = orders.where((F.upper("status") == "PLACED") & (F.length(F.trim("address")) > 0) & F.col("ts").isNotNull())
+    rows = rows.select("user_id", "order_id", "ts", normalise_address(F.col("address")).alias("place"))
+    longest = max(_micros(window), _micros(slice_))
+    rows = sliced(rows, "ts", window, f"{longest} us").withColumn("at", F.unix_micros("ts"))
+    user, order = (rows.schema[c].dataType.simpleString() for c in ("user_id", "order_id"))
+    reach = _micros(window)
+
+    def scan(batches):
+        key, near, seen, peers = None, deque(), {}, []  # near: (at, order_id, place) of the window; peers: rows of one instant
+
+        def alerts():
+            """The alerts of the rows of one instant, once all of them are in."""
+            out = []
+            if len(seen) >= least and any(not before for _, _, before in peers):
+                places = sorted(seen)
+                names = sorted(r[1] for r in near if r[1] is not None)  # as collect_list, which leaves out nulls
+                out = [(*row, ",".join(map(str, names)), ",".join(places), len(places), len(names), near[0][0], when) for when, row, before in peers if not before]
+            peers.clear()
+            return out
+
+        for b in batches:
+            out = []
+            for u, o, at, place, s, before in zip(*(b[c].tolist() for c in ("user_id", "order_id", "at", "place", "_slice", "_before"))):
+                if peers and ((u, s) != key or at != peers[0][0]):
+                    out += alerts()
+                if (u, s) != key:
+                    key = (u, s)
+                    near.clear()
+                    seen.clear()
+                while near and near[0][0] < at - reach:
+                    gone = near.popleft()[2]
+                    seen[gone] -= 1
+                    if not seen[gone]:
+                        del seen[gone]
+                near.append((at, o, place))
+                seen[place] = seen.get(place, 0) + 1
+                peers.append((at, (u, o), before))
+            yield _frame(out)
+        yield _frame(alerts() if peers else [])
+
+    rows = rows.repartition("user_id", "_slice").sortWithinPartitions("user_id", "_slice", "at", "order_id").drop("ts")
+    out = rows.mapInPandas(scan, f"user_id {user}, order_id {order}, order_ids string, distinct_addresses string, address_count int, order_count int, window_start long, window_end long")
+    at = {c: F.timestamp_micros(c) for c in ("window_start", "window_end")}
+    out = out.withColumns(at).withColumn("severity", fraud_severity(F.col("address_count"), F.col("order_count")))
+    return out.select("user_id", "order_id", "order_ids", "distinct_addresses", "address_count", "order_count", "severity", "window_start", "window_end")
+
+
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["user_id", "order_id", "order_ids", "distinct_addresses", "address_count", "order_count", "window_start", "window_end"])
 
 
 def look_back_rule(events: DataFrame, keys: list[str], ts: str, order: str, seconds: float, threshold: int = 4) -> DataFrame:
@@ -66,36 +139,104 @@ def _severity(rate: Column) -> Column:
     return ladder((rate >= 10, "CRITICAL"), (rate >= 5, "HIGH"), otherwise="MEDIUM")
 
 
-def ema_anomalies(counts: DataFrame, key: str, alpha: float = ALPHA, spike: float = SPIKE, least: int = LEAST) -> DataFrame:
+def _moving_average(n: np.ndarray, begin: np.ndarray, start: np.ndarray, alpha: float) -> np.ndarray:
+    """The average after each value: of runs that begin at `begin`, from the average `start` before each (NaN: none).
+
+    The average after i values of a run is that of the run alone plus (1 - alpha) ** i times what the start differs
+    from the run's first value, as the recursion is an affine map.
+    """
+    size = np.diff(np.append(begin, len(n)))
+    run = np.repeat(np.arange(len(begin)), size)
+    alone = pd.Series(n).groupby(run).ewm(alpha=alpha, adjust=False).mean().to_numpy()
+    off = np.nan_to_num(start - n[begin])[run]
+    return alone + np.power(1 - alpha, np.arange(1, len(n) + 1) - begin[run]) * off
+
+
+def _runs(batch: pd.DataFrame) -> tuple[np.ndarray, list]:
+    """Where the runs of equal (key, chunk) begin in a batch, and what they are."""
+    keys = list(zip(batch["key"].fillna("\0").tolist(), batch["chunk"].tolist()))
+    return np.array([i for i in range(len(keys)) if i == 0 or keys[i] != keys[i - 1]], np.int64), keys
+
+
+def ema_anomalies(counts: DataFrame, key: str, alpha: float = ALPHA, spike: float = SPIKE, least: int = LEAST, chunk: str = "1 day") -> DataFrame:
     """Windows whose count is at least `least` and `spike` times the moving average of the key's earlier windows.
 
-    The first window only starts the average, which moves after each test. Keys are spread over the tasks by hashing
-    and each key's windows arrive in order, so a task holds one Arrow batch, whatever a key's history.
+    The first window only starts the average, which moves after each test. A key's history is cut into chunks of time,
+    so it spreads over the tasks. A chunk maps the average before it to the one after it by x -> a * x + b; a first
+    pass makes these maps, their composition in order (one row a chunk) gives the average before each chunk, and a
+    second pass goes through the chunks from there. Tasks hold one Arrow batch.
     """
-    rows = counts.select(F.col(key).cast("string").alias("key"), "window_start", "window_end", F.col("n").cast("double").alias("n"))
-    rows = rows.repartition("key").sortWithinPartitions("key", "window_start")
+    length = _micros(chunk)
+    rows = counts.select(F.col(key).cast("string").alias("key"), "window_start", "window_end", F.col("n").cast("double").alias("n"), F.floor(F.unix_micros("window_start") / length).alias("chunk"))
+    rows = rows.repartition("key", "chunk").sortWithinPartitions("key", "chunk", "window_start")
 
-    def scan(batches):
-        now, base = None, 0.0  # the key of the batch before and its average
+    def maps(batches):
+        """(key, chunk, size, last): values of each chunk and the average after them from none; parts of a chunk follow."""
+        held = None  # [(key, chunk), size, last]
         for b in batches:
             if not len(b):
                 continue
-            key, n = b["key"].fillna("\0"), b["n"]
-            goes_on = key.iloc[0] == now
-            # A key that goes on starts from its average: in front of the batch, it is the first value of that key.
+            begin, keys = _runs(b)
+            size = np.diff(np.append(begin, len(b)))
+            goes_on = held is not None and keys[0] == held[0]
+            start = np.full(len(begin), np.nan)
+            if goes_on:
+                start[0] = held[2]
+            last = _moving_average(b["n"].to_numpy(), begin, start, alpha)[begin + size - 1]
+            out = [[keys[i], int(s), float(x)] for i, s, x in zip(begin, size, last)]
             if goes_on:
-                key, n = pd.concat([pd.Series([now]), key]), pd.concat([pd.Series([base]), n])
-            average = n.groupby(key.to_numpy(), sort=False).ewm(alpha=alpha, adjust=False).mean().to_numpy()
-            before = pd.Series(average).shift().where((key == key.shift()).to_numpy())
-            now, base = key.iloc[-1], average[-1]
-            yield b.assign(baseline=before.to_numpy()[int(goes_on) :])
+                out[0][1] += held[1]
+            elif held is not None:
+                out.insert(0, held)
+            held = out.pop()
+            yield _maps(out)
+        yield _maps([held] if held else [])
+
+    def compose(batches):
+        """The average before each chunk: `last` of the one before, moved by what that one started from."""
+        now, base = None, math.nan
+        for b in batches:
+            before = []
+            for k, size, last, first in zip(b["key"].fillna("\0"), b["size"], b["last"], b["first"]):
+                if k != now:
+                    now, base = k, math.nan
+                before.append(base)
+                base = last if math.isnan(base) else last + (1 - alpha) ** size * (base - first)
+            yield b[["key", "chunk"]].assign(base=before)
 
+    def scan(batches):
+        now, carried = None, math.nan
+        for b in batches:
+            if not len(b):
+                continue
+            begin, keys = _runs(b)
+            start = b["base"].to_numpy()[begin].astype(float)
+            if keys[0] == now:
+                start[0] = carried
+            after = _moving_average(b["n"].to_numpy(), begin, start, alpha)
+            before = np.concatenate(([np.nan], after[:-1]))
+            before[begin] = start
+            now, carried = keys[-1], float(after[-1])
+            yield b.drop(columns=["chunk", "base"]).assign(baseline=before)
+
+    firsts = rows.groupBy("key", "chunk").agg(F.min_by("n", "window_start").alias("first"))
+    same = lambda a, b: a["key"].eqNullSafe(b["key"]) & (a["chunk"] == b["chunk"])
+    made = rows.select("key", "chunk", "n").mapInPandas(maps, "key string, chunk long, size long, last double")
+    both = made.join(firsts, same(made, firsts)).select(made["key"], made["chunk"], "size", "last", "first")
+    bases = both.repartition("key").sortWithinPartitions("key", "chunk").mapInPandas(compose, "key string, chunk long, base double")
+    bases = written(bases)
+    rows = rows.join(broadcast_if_small(bases), same(rows, bases)).select(rows["key"], "window_start", "window_end", "n", rows["chunk"], "base")
+    rows = rows.repartition("key", "chunk").sortWithinPartitions("key", "chunk", "window_start")
     rows = rows.mapInPandas(scan, "key string, window_start timestamp, window_end timestamp, n double, baseline double").where("baseline is not null and not isnan(baseline)")
     rate = F.when(F.col("baseline") > 0, F.col("n") / F.col("baseline")).otherwise(F.col("n"))
     rows = rows.withColumn("spike_ratio", rate).where((F.col("n") >= least) & (F.col("spike_ratio") >= spike))
     return rows.select(F.col("key").alias(key), "window_start", "window_end", F.col("n").cast("long").alias("n"), "baseline", "spike_ratio", _severity(F.col("spike_ratio")).alias("severity"))
 
 
+def _maps(rows: list) -> pd.DataFrame:
+    return pd.DataFrame([(k if k != "\0" else None, c, s, x) for (k, c), s, x in rows], columns=["key", "chunk", "size", "last"])
+
+
 def session_summary(pings: DataFrame, gap: str | None = None) -> DataFrame:
     """Of pings (user_id, ts, latitude, longitude): start, end, number and ordered places, by user or session."""
     keys = ["user_id"] if gap is None else ["user_id", F.session_window("ts", gap).alias("s")]

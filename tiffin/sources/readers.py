@@ -35,27 +35,64 @@ def jdbc_bounds(spark: SparkSession, url: str, properties: dict, cfg: TableConfi
     return tuple(spark.read.jdbc(url, bounds, properties=properties).first())
 
 
-def text_ranges(column: str, parts: int) -> list[str]:
-    """Conditions that deal a text column into disjoint parts by its first two characters, nulls included.
+def _quoted(value: str, url: str = "") -> str:
+    value = value.replace("\\", "\\\\") if url.startswith(("jdbc:mysql", "jdbc:mariadb")) else value  # they escape by it
+    return "'" + value.replace("'", "''") + "'"
 
-    The bounds divide printable ASCII evenly; every database compares text, so no hash function is needed. Columns
-    whose values begin alike are better dealt by a number, named as the partition column.
+
+def bounds_query(cfg: TableConfig, rows: int, last: str | None = None, url: str = "") -> str:
+    """SQL for every key whose rank among `rows` keys crosses a share of 1 / num_partitions, with its rank.
+
+    The database ranks the keys by its own collation, which is what it will compare them by.
+    """
+    c = cfg.partition_column
+    where = f" WHERE {c} IS NOT NULL" + (f" AND {cfg.incremental_column} >= '{last}'" if last else "")
+    if url.startswith("jdbc:derby"):  # it numbers rows only in the order in which they come
+        ranked, step = f"SELECT k, ROW_NUMBER() OVER () AS r FROM (SELECT {c} AS k FROM {cfg.table}{where} ORDER BY {c}) o", "MOD(r * {0}, {1})"
+    else:
+        ranked = f"SELECT {c} AS k, ROW_NUMBER() OVER (ORDER BY {c}) AS r FROM {cfg.table}{where}"
+        step = "MOD(r * {0}, {1})" if url.startswith(("jdbc:oracle", "jdbc:db2")) else "(r * {0}) % {1}"
+    return f"SELECT k, r FROM ({ranked}) t WHERE {step.format(cfg.num_partitions, max(rows, 1))} < {cfg.num_partitions} AND r < {rows}"
+
+
+def text_bounds(spark: SparkSession, url: str, properties: dict, cfg: TableConfig, last: str | None = None) -> list[str]:
+    """Keys that cut a text column into num_partitions ranges of about equally many rows, in the database's order."""
+    c = cfg.partition_column
+    where = f" WHERE {c} IS NOT NULL" + (f" AND {cfg.incremental_column} >= '{last}'" if last else "")
+    rows = spark.read.jdbc(url, f"(SELECT COUNT(*) AS n FROM {cfg.table}{where}) counted", properties=properties).first()[0]
+    found = spark.read.jdbc(url, f"({bounds_query(cfg, rows, last, url)}) bounds", properties=properties).collect()  # one a partition
+    return [r[0] for r in sorted(found, key=lambda r: r[1])]
+
+
+def text_ranges(column: str, parts: int, bounds: list[str] | None = None, url: str = "") -> list[str]:
+    """Conditions that deal a text column into disjoint parts, nulls included.
+
+    `bounds` come in the database's order, as text_bounds() gives them. Without them, printable ASCII is divided evenly by
+    the first two characters; as a database may order text otherwise, a value then goes to the first part whose bound
+    lies above it, which no collation can make two. A key that makes up more than a part's share of the rows stays in
+    one part, as does every range of keys that the database takes for equal.
     """
-    steps = [i * 95 * 95 // parts for i in range(1, parts)]
-    at = [(chr(32 + s // 95) + chr(32 + s % 95)).replace("'", "''") for s in steps]
+    if bounds is not None:
+        at = [_quoted(b, url) for b in bounds]
+        below = [[a] for a in at]
+    else:
+        steps = [i * 95 * 95 // parts for i in range(1, parts)]
+        at = [_quoted(chr(32 + s // 95) + chr(32 + s % 95), url) for s in steps]
+        below = [at[: i + 1] for i in range(len(at))]
     if not at:
         return ["1 = 1"]
-    first, last = f"{column} < '{at[0]}' OR {column} IS NULL", f"{column} >= '{at[-1]}'"
-    return [first, *(f"{column} >= '{a}' AND {column} < '{b}'" for a, b in zip(at, at[1:])), last]
+    held = [" AND ".join(f"{column} >= {a}" for a in b) for b in below]
+    return [f"{column} < {at[0]} OR {column} IS NULL", *(f"{h} AND {column} < {a}" for h, a in zip(held, at[1:])), held[-1]]
 
 
 def read_table_jdbc(spark: SparkSession, url: str, properties: dict, cfg: TableConfig, last: str | None = None) -> DataFrame:
-    """A table over parallel connections: ranges of a numeric or time column, or the conditions of text_ranges."""
+    """A table over parallel connections: ranges of a numeric or time column, or ranges of equally many text keys."""
     source, props = _subquery(cfg, last), properties | {"fetchsize": str(cfg.fetch_size)}
     plain = spark.read.jdbc(url, source, properties=props)
     kind = next(f.dataType for f in plain.schema if f.name.lower() == cfg.partition_column.lower())
     if isinstance(kind, T.StringType):
-        return spark.read.jdbc(url, source, predicates=text_ranges(cfg.partition_column, cfg.num_partitions), properties=props)
+        ranges = text_ranges(cfg.partition_column, cfg.num_partitions, text_bounds(spark, url, properties, cfg, last), url)
+        return spark.read.jdbc(url, source, predicates=ranges, properties=props)
     low, high = jdbc_bounds(spark, url, properties, cfg, last)
     if low is None or not isinstance(kind, (T.NumericType, T.DateType, T.TimestampType)):
         return plain
@@ -148,9 +185,16 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
 
 
-def good_rows(good: DataFrame, bad: DataFrame, dead_letters: str, most: int) -> DataFrame:
-    """`good`, once its bad rows are appended to a folder of dead letters; raises if they are more than `most`."""
-    bad.select("value", F.current_timestamp().alias("failed_at")).write.mode("append").parquet(dead_letters)
+def good_rows(good: DataFrame, bad: DataFrame, dead_letters: str, most: int, batch: str | None = None) -> DataFrame:
+    """`good`, once its bad rows are in a folder of dead letters; raises if they are more than `most`.
+
+    A batch with a name has its own folder there, which a retry replaces; without a name the rows are appended.
+    """
+    rows = bad.select("value", F.current_timestamp().alias("failed_at"))
+    if batch is None:
+        rows.write.mode("append").parquet(dead_letters)
+    else:
+        rows.write.mode("overwrite").parquet(f"{dead_letters}/batch={batch}")
     if (n := bad.count()) > most:
         raise ValueError(f"{n} rows do not parse; at most {most} may")
     return good

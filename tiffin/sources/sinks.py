@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiffin.operators.cdc import apply_changes
+from tiffin.operators.cdc import merge_versions
 
 
 def write_orc(df: DataFrame, path: str, partition_by: list[str], bloom: list[str] = [], mode: str = "append") -> None:  # noqa: B006
@@ -62,50 +62,81 @@ def materialise(df: DataFrame, path: str, partition_by: list[str], sort_by: list
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").format(fmt).partitionBy(*partition_by).save(path)
 
 
-def upsert(spark: SparkSession, changes: DataFrame, path: str, keys: list[str], order: list[str], op: str = "op_type", buckets: int = 64) -> None:
+def upsert(spark: SparkSession, changes: DataFrame, path: str, keys: list[str], order: list[str], op: str = "op_type", buckets: int = 64, horizon: str | None = None) -> None:
     """Apply changes to a Parquet table that is partitioned by a hash bucket of the keys; only touched buckets are rewritten.
 
+    The table keeps each key's largest version (merge_versions): a change that comes late loses to a newer one that is
+    there, and deleted keys leave a grave in the folder `_deleted`, which readers skip, so that an older change does not
+    bring them back. `horizon`, a value of the first order column, says that older changes no longer come: graves
+    before it go when their bucket is next rewritten. It is kept with the table and only moves on.
+
     A key's bucket never changes, so no old copy stays elsewhere. The new buckets are written beside the table; then
-    each old one is set aside (under a name that readers skip), the new one takes its place, and the old one goes. If
-    the driver is lost in between, the next call brings back what was set aside, and the same changes can be applied
-    again: they are latest rows, so buckets that had them already come out the same. `buckets` belongs to the table and
-    must not change; choose it by the size that the table will have.
+    each old one is set aside (under a name that readers skip), the new one takes its place, and the old one goes;
+    graves are changed before rows. If the driver is lost in between, the next call brings back what was set aside, and
+    the same changes can be applied again. `buckets` belongs to the table and must not change; choose it by the size
+    that the table will have.
     """
     fs_path = spark._jvm.org.apache.hadoop.fs.Path
     fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(fs_path(path))
-    _recover_buckets(fs, fs_path, path)
+    graves = f"{path}/_deleted"
+    fs.mkdirs(fs_path(graves))
+    for folder in (graves, path):
+        _recover_buckets(fs, fs_path, folder)
+    horizon = _horizon(spark, fs, fs_path(f"{path}/_horizon"), horizon, changes.schema[order[0]].dataType)
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    changes = changes.withColumn("_bucket", bucket)
-    touched = [r[0] for r in changes.select("_bucket").distinct().collect()]  # at most `buckets` numbers
-    names = [c for c in changes.columns if c != op]
-    try:
-        old = spark.read.parquet(path).where(F.col("_bucket").isin(touched)).select(*names)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-        old = changes.select(*names).limit(0)
-    merged = apply_changes(old, changes, keys, order, op)
+    touched = [r[0] for r in changes.select(bucket).distinct().collect()]  # at most `buckets` numbers
+    names, held = [c for c in changes.columns if c != op], list(dict.fromkeys([*keys, *order]))
+    merged = merge_versions(_buckets(changes, fs, fs_path, path, touched, names), _buckets(changes, fs, fs_path, graves, touched, held), changes, keys, order, op, horizon)
     staged = f"{path}_staged"
-    merged.write.mode("overwrite").partitionBy("_bucket").parquet(staged)
-    for b in touched:
-        new = f"{staged}/_bucket={b}"
-        if fs.exists(fs_path(f"{path}/_bucket={b}")):
-            fs.rename(fs_path(f"{path}/_bucket={b}"), fs_path(f"{path}/_old_bucket={b}"))
-        if fs.exists(fs_path(new)):
-            fs.rename(fs_path(new), fs_path(f"{path}/_bucket={b}"))
-        fs.delete(fs_path(f"{path}/_old_bucket={b}"), True)
+    merged.withColumns({"_side": F.when(F.col("_gone"), "graves").otherwise("rows"), "_bucket": bucket}).drop("_gone").write.mode("overwrite").partitionBy("_side", "_bucket").parquet(staged)
+    for side, folder in (("graves", graves), ("rows", path)):
+        for b in touched:
+            new, old, aside = (fs_path(x) for x in (f"{staged}/_side={side}/_bucket={b}", f"{folder}/_bucket={b}", f"{folder}/.old_bucket={b}"))
+            if fs.exists(old):
+                fs.rename(old, aside)
+            if fs.exists(new):
+                fs.rename(new, old)
+            fs.delete(aside, True)
     fs.delete(fs_path(staged), True)
 
 
+def read_upserted(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a table that upsert() keeps."""
+    return spark.read.parquet(path).drop("_bucket")
+
+
+def _buckets(changes: DataFrame, fs, fs_path, path: str, touched: list[int], names: list[str]) -> DataFrame:
+    """Columns of some buckets of a table; no rows where it has none of them."""
+    there = [p for b in touched if fs.exists(fs_path(p := f"{path}/_bucket={b}"))]
+    if not there:
+        return changes.select(*names).limit(0)
+    return changes.sparkSession.read.option("basePath", path).parquet(*there).select(*names)
+
+
+def _horizon(spark: SparkSession, fs, file, given: str | None, kind) -> str | None:
+    """The later one of a given horizon and the one that is kept in a file; the file then has it."""
+    kept = None
+    if fs.exists(file):
+        stream = fs.open(file)
+        kept = stream.readUTF()
+        stream.close()
+    if given is None or kept is not None and not spark.range(1).select(F.lit(given).cast(kind) > F.lit(kept).cast(kind)).first()[0]:
+        return kept
+    stream = fs.create(file, True)
+    stream.writeUTF(given)
+    stream.close()
+    return given
+
+
 def _recover_buckets(fs, fs_path, path: str) -> None:
     """Undo a swap that broke off: an old bucket comes back if its new one is not in place, else it goes."""
-    for s in fs.globStatus(fs_path(f"{path}/_old_bucket=*")) or []:
-        name = s.getPath().getName().removeprefix("_old")
-        if fs.exists(fs_path(f"{path}/{name}")):
+    for s in [*(fs.globStatus(fs_path(f"{path}/.old_bucket=*")) or []), *(fs.globStatus(fs_path(f"{path}/_old_bucket=*")) or [])]:
+        name = s.getPath().getName()[len(".old") :].removeprefix("_")
+        back = fs_path(f"{path}/_{name.removeprefix('_')}")
+        if fs.exists(back):
             fs.delete(s.getPath(), True)
         else:
-            fs.rename(s.getPath(), fs_path(f"{path}/{name}"))
+            fs.rename(s.getPath(), back)
 
 
 def to_topic(df: DataFrame, topic: str | None = None, key: str | None = None) -> DataFrame:
@@ -148,14 +179,97 @@ def expire(spark: SparkSession, path: str, before: str, partition: str = "dt") -
     return sorted(p.getName() for p in gone)
 
 
-def fan_out(outputs: dict[str, Callable[[DataFrame], None]]):
-    """A foreachBatch function that gives one cached batch to several writers."""
+class CommitLog:
+    """Which epochs of a streaming query each sink has taken, as empty files in a shared folder.
+
+    An entry is made after its write, so a lost driver can only leave a write without one. Epochs come in order;
+    of long runs of entries the early ones go, and epochs below the first that is left count as taken.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, query: str, keep: int = 1000):
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+        self.folder, self.keep = f"{path}/{query}", keep
+
+    def taken(self, sink: str) -> list[int]:
+        """The epochs that have entries, in order."""
+        found = self._fs.globStatus(self._path(f"{self.folder}/{sink}/[0-9]*")) or []
+        return sorted(int(s.getPath().getName()) for s in found)
+
+    def has(self, sink: str, epoch: int) -> bool:
+        have = self.taken(sink)
+        return bool(have) and (epoch < have[0] and len(have) > self.keep // 2 or epoch in have)
+
+    def add(self, sink: str, epoch: int) -> None:
+        self._fs.create(self._path(f"{self.folder}/{sink}/{epoch}"), True).close()
+        have = self.taken(sink)
+        for old in have[: -(self.keep // 2 + 1)] if len(have) > self.keep else []:
+            self._fs.delete(self._path(f"{self.folder}/{sink}/{old}"), False)
+
+
+class EpochFiles:
+    """A sink of files with a folder for each epoch, which a replay of the epoch replaces."""
+
+    def __init__(self, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()):
+        self.path, self.fmt, self.partition_by = path, fmt, partition_by
+
+    def replace(self, batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").partitionBy(*self.partition_by).format(self.fmt).save(f"{self.path}/epoch={epoch}")
+
+    def read(self, spark: SparkSession, log: CommitLog | None = None, sink: str = "") -> DataFrame:
+        """The rows of all epochs, or of those that the log has."""
+        rows = spark.read.format(self.fmt).load(self.path)
+        if log is not None:
+            have = log.taken(sink)
+            early = F.col("epoch") < (have[0] if have and len(have) > log.keep // 2 else -1)
+            rows = rows.where(early | F.col("epoch").isin(have))
+        return rows.drop("epoch")
+
+
+class Selected:
+    """A sink that takes the rows of a condition."""
+
+    def __init__(self, sink, condition: str):
+        self.sink, self.condition = sink, condition
+
+    def replace(self, batch: DataFrame, epoch: int) -> None:
+        self.sink.replace(batch.where(self.condition), epoch)
+
+
+class UpsertSink:
+    """A sink that applies each epoch to an upserted table; the table is the same however often an epoch comes."""
+
+    def __init__(self, path: str, keys: list[str], order: list[str], op: str = "op_type", buckets: int = 64):
+        self.path, self.keys, self.order, self.op, self.buckets = path, keys, order, op, buckets
+
+    def replace(self, batch: DataFrame, epoch: int) -> None:
+        upsert(batch.sparkSession, batch, self.path, self.keys, self.order, self.op, self.buckets)
+
+
+def fan_out(outputs: dict[str, Callable[[DataFrame], None] | EpochFiles | UpsertSink], log: CommitLog | None = None):
+    """A foreachBatch function that gives one cached batch to several sinks, each epoch once.
+
+    A sink has replace(batch, epoch), which gives the same result when it is called again; a plain function of the
+    batch may be given too. A sink whose epoch is in the log is skipped, so a replay goes on with the first one that
+    failed. What a lost driver leaves between a write and its entry is written again: that is exactly once for sinks
+    that replace, and at least once for plain functions. Without a log, this run's epochs alone are remembered.
+    """
+    seen: set[tuple[str, int]] = set()
 
-    def write(batch: DataFrame, _epoch: int) -> None:
+    def write(batch: DataFrame, epoch: int) -> None:
+        open_ = {n: f for n, f in outputs.items() if (n, epoch) not in seen and not (log is not None and log.has(n, epoch))}
+        if not open_:
+            return
         batch.persist()
         try:
-            for f in outputs.values():
-                f(batch)
+            for name, sink in open_.items():
+                if hasattr(sink, "replace"):
+                    sink.replace(batch, epoch)
+                else:
+                    sink(batch)
+                if log is not None:
+                    log.add(name, epoch)
+                seen.add((name, epoch))
         finally:
             batch.unpersist()
 

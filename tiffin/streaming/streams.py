@@ -91,6 +91,11 @@ def file_sink(df: DataFrame, path: str, checkpoint: str, partition_by: list[str]
     return df.writeStream.format(fmt).partitionBy(*partition_by).option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(processingTime=trigger).start()
 
 
+def drain(df: DataFrame, write, checkpoint: str) -> None:
+    """Run a stream over what its source has now, giving each epoch to a foreachBatch function."""
+    df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
 def run_once(df: DataFrame, folder: str, mode: str = "append") -> DataFrame:
     """Run a stream over what its source has now, into Parquet under `folder`, and read the result back."""
     spark: SparkSession = df.sparkSession
