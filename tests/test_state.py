@@ -285,7 +285,7 @@ def test_streamed_rules_are_the_batch_rules_and_leave_no_state(spark, tmp_path):
     batches = [rows[i : i + 30] for i in range(0, 120, 30)]
     for k in range(3):  # neighbours across batches change places, by less than the delay
         batches[k][-1], batches[k + 1][0] = batches[k + 1][0], batches[k][-1]
-    end = [(999, "end", AT + datetime.timedelta(days=2), None, None, None)]
+    ends = [[(999 + k, "end", AT + datetime.timedelta(days=2 + k), "p", 0.0, 0.0)] for k in range(2)]
     whole = spark.createDataFrame(rows, schema)
     cases = {
         "rapid": (lambda df: rules.rapid_fire(df, delay="2 minutes"), cep.rapid_fire(whole)),
@@ -294,7 +294,7 @@ def test_streamed_rules_are_the_batch_rules_and_leave_no_state(spark, tmp_path):
     }
     for name, (rule, batch) in cases.items():
         src, out = str(tmp_path / name), []
-        for b in itertools.chain(batches, [end]):
+        for b in itertools.chain(batches, ends):
             spark.createDataFrame(b, schema).coalesce(1).write.mode("append").parquet(src)
             streams.drain(rule(spark.readStream.schema(schema).parquet(src)), lambda df, _: out.extend(r["event_id"] for r in df.collect()), str(tmp_path / f"check-{name}"))  # noqa: B023
         want = sorted(r["event_id"] for r in batch.collect())

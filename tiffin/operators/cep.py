@@ -154,7 +154,7 @@ def _moving_average(n: np.ndarray, begin: np.ndarray, start: np.ndarray, alpha:
 
 def _runs(batch: pd.DataFrame) -> tuple[np.ndarray, list]:
     """Where the runs of equal (key, chunk) begin in a batch, and what they are."""
-    keys = list(zip(batch["key"].fillna("\0").tolist(), batch["chunk"].tolist()))
+    keys = list(zip(batch["key"].tolist(), batch["chunk"].tolist()))
     return np.array([i for i in range(len(keys)) if i == 0 or keys[i] != keys[i - 1]], np.int64), keys
 
 
@@ -167,12 +167,13 @@ def ema_anomalies(counts: DataFrame, key: str, alpha: float = ALPHA, spike: floa
     second pass goes through the chunks from there. Tasks hold one Arrow batch.
     """
     length = _micros(chunk)
-    rows = counts.select(F.col(key).cast("string").alias("key"), "window_start", "window_end", F.col("n").cast("double").alias("n"), F.floor(F.unix_micros("window_start") / length).alias("chunk"))
+    named = F.when(F.col(key).isNull(), "").otherwise(F.concat(F.lit("="), F.col(key).cast("string")))  # no null, for the joins
+    rows = counts.select(named.alias("key"), "window_start", "window_end", F.col("n").cast("double").alias("n"), F.floor(F.unix_micros("window_start") / length).alias("chunk"))
     rows = rows.repartition("key", "chunk").sortWithinPartitions("key", "chunk", "window_start")
 
     def maps(batches):
-        """(key, chunk, size, last): values of each chunk and the average after them from none; parts of a chunk follow."""
-        held = None  # [(key, chunk), size, last]
+        """(key, chunk, size, first, last): number of a chunk's values, the first, and the average after them from none."""
+        held = None  # [(key, chunk), size, first, last]
         for b in batches:
             if not len(b):
                 continue
@@ -181,11 +182,12 @@ def ema_anomalies(counts: DataFrame, key: str, alpha: float = ALPHA, spike: floa
             goes_on = held is not None and keys[0] == held[0]
             start = np.full(len(begin), np.nan)
             if goes_on:
-                start[0] = held[2]
-            last = _moving_average(b["n"].to_numpy(), begin, start, alpha)[begin + size - 1]
-            out = [[keys[i], int(s), float(x)] for i, s, x in zip(begin, size, last)]
+                start[0] = held[3]
+            n = b["n"].to_numpy()
+            last = _moving_average(n, begin, start, alpha)[begin + size - 1]
+            out = [[keys[i], int(s), float(n[i]), float(x)] for i, s, x in zip(begin, size, last)]
             if goes_on:
-                out[0][1] += held[1]
+                out[0][1:3] = out[0][1] + held[1], held[2]
             elif held is not None:
                 out.insert(0, held)
             held = out.pop()
@@ -197,7 +199,7 @@ def ema_anomalies(counts: DataFrame, key: str, alpha: float = ALPHA, spike: floa
         now, base = None, math.nan
         for b in batches:
             before = []
-            for k, size, last, first in zip(b["key"].fillna("\0"), b["size"], b["last"], b["first"]):
+            for k, size, first, last in zip(b["key"], b["size"], b["first"], b["last"]):
                 if k != now:
                     now, base = k, math.nan
                 before.append(base)
@@ -219,22 +221,19 @@ def ema_anomalies(counts: DataFrame, key: str, alpha: float = ALPHA, spike: floa
             now, carried = keys[-1], float(after[-1])
             yield b.drop(columns=["chunk", "base"]).assign(baseline=before)
 
-    firsts = rows.groupBy("key", "chunk").agg(F.min_by("n", "window_start").alias("first"))
-    same = lambda a, b: a["key"].eqNullSafe(b["key"]) & (a["chunk"] == b["chunk"])
-    made = rows.select("key", "chunk", "n").mapInPandas(maps, "key string, chunk long, size long, last double")
-    both = made.join(firsts, same(made, firsts)).select(made["key"], made["chunk"], "size", "last", "first")
-    bases = both.repartition("key").sortWithinPartitions("key", "chunk").mapInPandas(compose, "key string, chunk long, base double")
-    bases = written(bases)
-    rows = rows.join(broadcast_if_small(bases), same(rows, bases)).select(rows["key"], "window_start", "window_end", "n", rows["chunk"], "base")
+    made = rows.select("key", "chunk", "n").mapInPandas(maps, "key string, chunk long, size long, first double, last double")
+    bases = written(made.repartition("key").sortWithinPartitions("key", "chunk").mapInPandas(compose, "key string, chunk long, base double"))
+    rows = rows.join(broadcast_if_small(bases), ["key", "chunk"]).select("key", "window_start", "window_end", "n", "chunk", "base")
     rows = rows.repartition("key", "chunk").sortWithinPartitions("key", "chunk", "window_start")
     rows = rows.mapInPandas(scan, "key string, window_start timestamp, window_end timestamp, n double, baseline double").where("baseline is not null and not isnan(baseline)")
     rate = F.when(F.col("baseline") > 0, F.col("n") / F.col("baseline")).otherwise(F.col("n"))
     rows = rows.withColumn("spike_ratio", rate).where((F.col("n") >= least) & (F.col("spike_ratio") >= spike))
-    return rows.select(F.col("key").alias(key), "window_start", "window_end", F.col("n").cast("long").alias("n"), "baseline", "spike_ratio", _severity(F.col("spike_ratio")).alias("severity"))
+    name = F.when(F.col("key") != "", F.substring("key", 2, 1 << 30))
+    return rows.select(name.alias(key), "window_start", "window_end", F.col("n").cast("long").alias("n"), "baseline", "spike_ratio", _severity(F.col("spike_ratio")).alias("severity"))
 
 
 def _maps(rows: list) -> pd.DataFrame:
-    return pd.DataFrame([(k if k != "\0" else None, c, s, x) for (k, c), s, x in rows], columns=["key", "chunk", "size", "last"])
+    return pd.DataFrame([(*name, *values) for name, *values in rows], columns=["key", "chunk", "size", "first", "last"])
 
 
 def session_summary(pings: DataFrame, gap: str | None = None) -> DataFrame:

@@ -47,7 +47,7 @@ class _InOrder(StatefulProcessor):
         yield pd.DataFrame()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        now = expiredTimerInfo.getExpiryTimeInMs() * 1000
+        now = expiredTimerInfo.getExpiryTimeInMs() * 1000  # the watermark has passed it, so all rows up to here are in
         waiting = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
         recent = [tuple(r) for r in self.recent.get()] if self.recent.exists() else []
         due, later = sorted((r for r in waiting if r[0] <= now), key=lambda r: r[:2]), [r for r in waiting if r[0] > now]
