@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -356,3 +357,18 @@ def test_one_text_of_an_id_trains(spark):
     from tiffin.llm._learn import training_sample
 
     assert sorted((r["text"], r["y"]) for r in training_sample(docs, labels, "quality", 10).collect()) == [("a", 1), ("c", 0)]
+
+
+def test_bpe_knows_every_code_point_as_the_library_does():
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(word_vocabulary())
+    own = bpe.WordBpe(Path(word_vocabulary()).read_bytes())
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f"ab{chr(c)}cd " for c in points[i : i + 256]) for i in range(0, len(points), 256)]
+    wrong = []
+    for k in range(0, len(texts), 64):
+        some = texts[k : k + 64]
+        made = [np.frombuffer(x, np.uint16).tolist() for x in own.encode_batch(some)]
+        wrong += [t for t, ids, e in zip(some, made, library.encode_batch(some, add_special_tokens=False)) if ids != e.ids]
+    assert not wrong, [hex(ord(w[2])) for t in wrong for w in t.split(" ") if len(w) == 5][:20]

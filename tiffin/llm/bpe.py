@@ -36,7 +36,28 @@ REMEMBERED, TEXTS = 100_000, 1 << 17
 END = "</w>"
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
-#: The same for texts of ASCII and Latin letters only.
+#: Letters and digits that came after Unicode 16, which the library does not know as such, in hexadecimal.
+_LATER_LETTERS = """
+558 58b-58c 88f c5c cdc 208f 209d-209f a7ce-a7cf a7d2 a7d4 a7dd a7e2 a7f1 ab6c-ab6d 107bb-107bf 10940-10959 10ec5-10ec7
+10ed9-10eee 11b0a 11db0-11ddb 11df1 16ea0-16eb8 16ebb-16ed3 16ff2-16ff3 187f8-187ff 18cd6-18cda 18d09-18d20 18d80-18df2
+18e00-19191 191a0-191d2 1b123-1b128 1b168 1d6a6 1df1f-1df24 1df2b-1df81 1df90-1df96 1dfcd-1dfff 1e6c0-1e6de 1e6e0-1e6e2
+1e6e4-1e6e5 1e6e7-1e6ed 1e6f0-1e6f4 1e6fe-1e6ff 2b73a-2b73f 2b81e 2cea2-2cead 323b0-33479 3d000-3fc3f
+"""
+_LATER_DIGITS = "11de0-11de9 1246f 12475-1247f 12550-12686 16ff4-16ff6"
+#: Letters that the library lower-cases and an older Unicode does not know, with what they become.
+_LATER_LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
+_LATER_LOWER |= {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}
+
+
+def _class(ranges: str) -> str:
+    return "".join("-".join(f"\\U{int(x, 16):08x}" for x in r.split("-")) for r in ranges.split())
+
+
+_L, _N = rf"[\p{{L}}--[{_class(_LATER_LETTERS)}]]", rf"[\p{{N}}--[{_class(_LATER_DIGITS)}]]"
+#: Words of texts in which any of these occurs.
+_LATER = re.compile(f"[{_class(_LATER_LETTERS)}{_class(_LATER_DIGITS)}{''.join(map(chr, _LATER_LOWER))}]")
+_LATER_WORD = regex.compile(rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d|{_L}+|{_N}|[^{_SPACE}{_L}{_N}]+")
+#: The same as _WORD for texts of ASCII and Latin letters only.
 _LATIN_WORD = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\u024f]+|[0-9]|[^{_SPACE}0-9a-z\xdf-\xf6\xf8-\u024f]+")
 _EXOTIC = re.compile(r"[^\x00-\x7f\xdf-\xf6\xf8-\u024f]")
 
@@ -88,7 +109,11 @@ class WordBpe:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         text = text.lower()
-        return (_LATIN_WORD if text.isascii() or not _EXOTIC.search(text) else _WORD).findall(text)
+        if text.isascii() or not _EXOTIC.search(text):
+            return _LATIN_WORD.findall(text)
+        if _LATER.search(text):
+            return _LATER_WORD.findall(text.translate(_LATER_LOWER))
+        return _WORD.findall(text)
 
     def symbols(self, word: str) -> str:
         return word if word.isascii() and word.isalnum() else word.encode().decode("latin-1").translate(_TRANSLATE)
