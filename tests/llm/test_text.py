@@ -372,3 +372,42 @@ def test_bpe_knows_every_code_point_as_the_library_does():
         made = [np.frombuffer(x, np.uint16).tolist() for x in own.encode_batch(some)]
         wrong += [t for t, ids, e in zip(some, made, library.encode_batch(some, add_special_tokens=False)) if ids != e.ids]
     assert not wrong, [hex(ord(w[2])) for t in wrong for w in t.split(" ") if len(w) == 5][:20]
+
+
+_SENTENCE = "The committee met on Tuesday to hear the plans for the coming year, and several members who had come a long way spoke. "
+
+
+def _page(inner, before=""):
+    return f"<html><body><nav><a href=x>Home</a> <a href=y>News</a></nav>{before}{inner}<footer>Imprint</footer></body></html>"
+
+
+@pytest.mark.parametrize("name", ["share-price", "related-work", "widget-doc", "privacy", "sidebar-history", "promo-code", "adverts-of-1920", "noticeBoard"])
+def test_a_class_word_does_not_lose_an_article(name):
+    paragraphs = [_SENTENCE * 2 + f"Part {i}." for i in range(3)]
+    got = htmlextract.main_text(_page(f"<div class='{name}'>" + "".join(f"<p>{p}</p>" for p in paragraphs) + "</div>"))
+    assert got == "\n\n".join(paragraphs)
+    # Beside an article of its own the same element is what its word says, however long it is.
+    if name in ("privacy", "sidebar-history", "promo-code", "noticeBoard"):
+        article = f"<article><h1>Title</h1><p>{_SENTENCE * 3}</p></article>"
+        both = htmlextract.main_text(_page(f"<div class='{name}'><p>{_SENTENCE * 2}</p></div>", article))
+        assert both == f"Title\n\n{(_SENTENCE * 3).strip()}"
+
+
+@pytest.mark.parametrize("name", ["comments", "comment-list", "cookie-consent", "gdpr"])
+def test_comments_and_consent_are_never_the_article(name):
+    long = "".join(f"<p>{_SENTENCE * 2}</p>" for _ in range(4))
+    got = htmlextract.main_text(_page(f"<div class='{name}'>{long}</div>", f"<main><p>{_SENTENCE}</p></main>"))
+    assert got == _SENTENCE.strip()
+
+
+def test_a_short_article_is_not_lost_to_a_long_notice():
+    notice = f"<div class='notice'><p>{_SENTENCE * 3}</p></div>"
+    assert htmlextract.main_text(_page(notice, f"<p>{_SENTENCE}</p>")) == _SENTENCE.strip()
+
+
+def test_extraction_of_repeated_rows_and_very_long_pages(spark):
+    page = _page("<article>" + "".join(f"<p>{_SENTENCE}{i}.</p>" for i in range(3000)) + "</article>")
+    pages = spark.createDataFrame([(1, "u", page), (1, "u", page), (2, "v", "<p>"), (3, "w", None)], "page_id long, url string, html string")
+    got = sorted((r["page_id"], r["n_chars"], len(r["text"])) for r in htmlextract.extract_text(pages, ("page_id", "url")).collect())
+    size = len("\n\n".join(f"{_SENTENCE}{i}." for i in range(3000)))
+    assert got == [(1, size, size), (1, size, size), (2, 0, 0), (3, 0, 0)]

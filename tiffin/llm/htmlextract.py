@@ -7,9 +7,13 @@ blocks that follow each other and blocks whose elements have one parent are tied
 The minimum cut, found by max-flow, separates content from boilerplate with the least total cost. Blocks whose odds
 exceed all their ties keep their side in every minimum cut and are taken out first, so the flow runs on what is left.
 
-The classifier is fitted to the pages themselves (`fit`): on a bounded sample of them, link lists, hidden texts and
-texts that several pages share are taken as boilerplate, long unmarked texts of one page as content; logistic loss, with
-a pull to the prior weights below, moves the weights.
+A class, id or role word is weak evidence: where an element that has no more than such a word against it holds nearly all
+prose of a page, in several paragraphs, the word is taken for a topic (`share-price`, `privacy`) and has no weight.
+Words of reader comments and consent always count.
+
+The weights are the prior ones below. They can also be fitted to the pages (`fit`): on a bounded sample of them, link
+lists, hidden texts and texts that several pages share are taken as boilerplate, long unmarked texts of one page as
+content; logistic loss, with a pull to the prior, moves the weights.
 
 Defined cases: null and empty pages and pages without content give an empty text; unclosed and stray tags are
 tolerated; ids, repeated rows and other columns do not matter. Each page is one row's work, in one pass.
@@ -68,6 +72,10 @@ STRONG_WORDS = frozenset(
     " navigation newsletter notice notices pagination popup promo promoted promotion promotions sidebar signup sponsor sponsored subscribe subscription"
     " toolbar topbar".split()
 )
+#: Words that count against an element however much prose it holds.
+FIRM_WORDS = frozenset("comment comments discussion reply replies respond consent cookie cookies gdpr".split())
+#: A text of so many characters and so small a share of links is prose; what an element must hold to be doubted.
+PROSE, LINKED, DOUBT_CHARS, DOUBT_TIMES = 120, 0.2, 600, 3
 #: Log odds of the marks of elements and words.
 IN_BOILERPLATE, IN_CONTENT, HIDDEN, STRONG, PLAIN, PARTIAL, CONTENT_WORD = -4.0, 1.5, -9.0, -4.0, -3.0, -1.0, 0.8
 #: Prior weights: constant, length, link share, punctuation, heading, mark. Ties of neighbours and of siblings.
@@ -102,6 +110,14 @@ def _mark(name: str, attributes: str) -> float:
     return out
 
 
+def _by_word(name: str, attributes: str) -> bool:
+    """Whether nothing but a class, id or role word marks an element as boilerplate, and none that is firm."""
+    if name in BOILERPLATE or _HIDDEN.search(attributes):
+        return False
+    words = {w.lower() for _, v in _HINT.findall(attributes) for w in _WORD.findall(v)}
+    return not words & FIRM_WORDS
+
+
 def _closed(attributes: str) -> bool:
     """Whether a tag ends in a slash that is no part of an unquoted value."""
     attributes = attributes.rstrip()
@@ -109,10 +125,10 @@ def _closed(attributes: str) -> bool:
 
 
 class _Block:
-    __slots__ = ("text", "share", "mark", "parent", "name")
+    __slots__ = ("text", "share", "mark", "parent", "name", "word")
 
-    def __init__(self, text: str, share: float, mark: float, parent: int, name: str):
-        self.text, self.share, self.mark, self.parent, self.name = text, share, mark, parent, name
+    def __init__(self, text: str, share: float, mark: float, parent: int, name: str, word: int):
+        self.text, self.share, self.mark, self.parent, self.name, self.word = text, share, mark, parent, name, word
 
     def features(self) -> tuple[float, ...]:
         n = len(self.text)
@@ -127,8 +143,10 @@ def odds(features: tuple[float, ...], weights: tuple[float, ...]) -> float:
 def read_blocks(page: str) -> list[_Block]:
     """The text blocks of a page, with the nearest mark above each and the parent of its element."""
     blocks: list[_Block] = []
-    # Open elements: name, nearest mark, number of the nearest block element, whether in a link, that element's parent.
-    stack: list[tuple[str, float, int, bool, int]] = [("", 0.0, 0, False, 0)]
+    # Open elements: name, nearest mark, number of the nearest block element, whether in a link, that element's parent, and
+    # number of the element whose word alone gives the mark, or 0.
+    stack: list[tuple[str, float, int, bool, int, int]] = [("", 0.0, 0, False, 0, 0)]
+    marked = 0
     parts: list[tuple[str, bool]] = []
     number, at, n = 0, 0, len(page)
     veil = 0  # place in the stack of the outermost veiled element
@@ -145,8 +163,8 @@ def read_blocks(page: str) -> list[_Block]:
             text = " ".join(html.unescape(raw).split())
             if text:
                 linked = sum([len(p) for p, in_link in parts if in_link])
-                name, mark, _, _, parent = stack[-1]
-                blocks.append(_Block(text, linked / max(len(raw), 1), mark, parent, name))
+                name, mark, _, _, parent, word = stack[-1]
+                blocks.append(_Block(text, linked / max(len(raw), 1), mark, parent, name, word))
             parts.clear()
 
     while at < n:
@@ -212,13 +230,44 @@ def read_blocks(page: str) -> list[_Block]:
             number += 1
         up = stack[-1]
         # A mark holds until a nearer one; within hidden or marked text, content words and elements change nothing.
+        own = mark < up[1] if up[1] <= PLAIN else mark != 0
+        if own and mark < 0 and _by_word(name, attributes):
+            marked += 1
+            word = marked
+        else:
+            word = 0 if own else up[5]
         mark = min(mark, up[1]) if up[1] <= PLAIN else mark or up[1]
         if not attributes.rstrip().endswith("/"):
-            stack.append((name, mark, number if block else up[2], up[3] or name == "a", up[2] if block else up[4]))
+            stack.append((name, mark, number if block else up[2], up[3] or name == "a", up[2] if block else up[4], word))
     flush()
+    if marked:
+        _doubt_words(blocks)
     return blocks
 
 
+def _doubt_words(blocks: list[_Block]) -> None:
+    """Take the mark off the blocks of an element that a word alone marks, if it holds nearly all that could be content.
+
+    It must have DOUBT_CHARS characters of prose in two blocks or more, and DOUBT_TIMES as many as all texts outside
+    it that nothing marks as boilerplate, and as all prose that other such elements hold.
+    """
+    held: dict[int, list[int]] = {}
+    free = 0
+    for b in blocks:
+        prose = len(b.text) >= PROSE and b.share < LINKED
+        if b.word and prose:
+            held.setdefault(b.word, []).append(len(b.text))
+        elif not b.word and b.mark >= 0 and b.share < LINKED:
+            free += len(b.text)
+    total = sum([sum(sizes) for sizes in held.values()])
+    for word, sizes in held.items():
+        mine = sum(sizes)
+        if len(sizes) > 1 and mine >= DOUBT_CHARS and mine >= DOUBT_TIMES * (free + total - mine):
+            for b in blocks:
+                if b.word == word:
+                    b.mark = 0.0
+
+
 def _ties(blocks: list[_Block]) -> list[tuple[int, int, float]]:
     """Smoothness edges; a change of the mark between two blocks makes a boundary there cheap."""
     out = [(i, i + 1, NEIGHBOUR) for i in range(len(blocks) - 1)]
@@ -403,4 +452,4 @@ def extract_text(pages: DataFrame, keep: tuple[str, ...] | None = None, html_col
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    return extract_text(pages, ("page_id", "url"), weights=fit(pages))
+    return extract_text(pages, ("page_id", "url"))
