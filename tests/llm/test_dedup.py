@@ -67,6 +67,26 @@ def test_set_join_is_brute_force(spark, width, threshold):
     assert got == {i: (len(s[i]), min(j for j in range(len(s)) if root[j] == root[i])) for i in range(len(s))}
 
 
+@pytest.mark.parametrize("threshold", [0.7, 0.8, 0.9])
+def test_linked_sets_share_the_keys_they_need(threshold):
+    rng = np.random.default_rng(round(threshold * 100))
+    per_mille, tight = round(threshold * 1000), 0
+    for _ in range(600):
+        n = int(rng.choice([5, 12, 40, 41, 90, 300]))
+        a = np.unique(rng.integers(0, 1 << 62, n, dtype=np.uint64))
+        keep = a[rng.permutation(len(a))[: len(a) - int(rng.integers(0, max(1, round(len(a) * (1 - threshold))) + 1))]]
+        b = np.unique(np.concatenate([keep, rng.integers(0, 1 << 62, int(rng.integers(0, 1 + len(a) // 6)), dtype=np.uint64)]))
+        common = len(np.intersect1d(a, b))
+        if 1000 * common < per_mille * (len(a) + len(b) - common) or common == len(a) == len(b):
+            continue
+        shared = len(np.intersect1d(S.part_keys(a, threshold), S.part_keys(b, threshold)))
+        for x in (a, b):
+            need = S.shared_keys_needed(x, threshold)
+            assert 1 <= need <= shared
+            tight += need > 1
+    assert tight > 100
+
+
 def test_set_join_hot_near_copies(spark):
     rng = random.Random(4)
     base = [f"w{i}" for i in range(150)]

@@ -76,6 +76,22 @@ def part_keys(tokens: np.ndarray, threshold: float) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+def shared_keys_needed(tokens: np.ndarray, threshold: float) -> int:
+    """How many keys a set shares at least with every set of another content that it links with.
+
+    Of the parts that have keys, at most d differ.
+    """
+    own, out = size_class(len(tokens), threshold), []
+    for c in (own, own - 1):
+        d, spare = scheme(c, threshold) if c >= 0 else (0, 0)
+        if d:
+            m = d + 1 + spare
+            part = (mix(tokens + np.uint64(c)) >> np.uint64(33)) % np.uint64(m)
+            empty = m - int((np.bincount(part.astype(np.int64), minlength=m) > 0).sum())
+            out.append(m - d - (empty if empty <= spare else 0))
+    return min(out, default=1)
+
+
 def _ids(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     def scan(batches):
         for b in batches:
@@ -104,8 +120,8 @@ def _keys(docs: DataFrame, text_col: str, width: int, threshold: float) -> DataF
     return docs.select(F.col(text_col).alias("text")).mapInArrow(scan, "key long, sid long")
 
 
-def _sets(docs: DataFrame, text_col: str, width: int, wanted: DataFrame) -> DataFrame:
-    """(sid, n, tokens) of the wanted sets."""
+def _sets(docs: DataFrame, text_col: str, width: int, threshold: float, wanted: DataFrame) -> DataFrame:
+    """(sid, n, need, tokens) of the wanted sets."""
 
     def scan(batches):
         seen: set[int] = set()
@@ -115,13 +131,13 @@ def _sets(docs: DataFrame, text_col: str, width: int, wanted: DataFrame) -> Data
                 if len(s) and (sid := set_id(s)) not in seen:
                     if len(seen) < REMEMBERED:
                         seen.add(sid)
-                    rows.append((sid, len(s), s.tobytes()))
+                    rows.append((sid, len(s), shared_keys_needed(s, threshold), s.tobytes()))
             for i in range(0, len(rows), 2000):
-                sids, n, tokens = zip(*rows[i : i + 2000])
-                yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(n, pa.int64()), pa.array(tokens, pa.binary())], names=["sid", "n", "tokens"])
+                sids, n, need, tokens = zip(*rows[i : i + 2000])
+                yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(n, pa.int64()), pa.array(need, pa.int64()), pa.array(tokens, pa.binary())], names=["sid", "n", "need", "tokens"])
 
-    rows = docs.select(F.col(text_col).alias("text")).mapInArrow(scan, "sid long, n long, tokens binary")
-    return rows.join(sized(wanted), "sid", "left_semi").groupBy("sid").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
+    rows = docs.select(F.col(text_col).alias("text")).mapInArrow(scan, "sid long, n long, need long, tokens binary")
+    return rows.join(sized(wanted), "sid", "left_semi").groupBy("sid").agg(*(F.first(c).alias(c) for c in ("n", "need", "tokens")))
 
 
 def _ints(share: float) -> int:
@@ -222,7 +238,7 @@ def similar_components(docs: DataFrame, width: int = 5, threshold: float = 0.8,
     ranked = shared.join(score, "sid").select("key", "sid", F.struct("score", "sid").alias("rank"))
     centre = ranked.groupBy("key").agg(F.max("rank").alias("centre"))
     group = checkpoint(shared.join(centre, "key").groupBy("sid").agg(F.max("centre").alias("c")).select("sid", F.col("c.sid").alias("centre")))
-    sets = checkpoint(_sets(docs, text_col, width, group.select("sid")))
+    sets = checkpoint(_sets(docs, text_col, width, threshold, group.select("sid")))
     star = checkpoint(_verify_pairs(group.where("sid <> centre").select(F.col("sid").alias("a"), F.col("centre").alias("b")), sets, threshold))
     first = components(star)
     member = checkpoint(group.join(first.select(F.col("node").alias("sid"), "component"), "sid", "left").select("sid", "centre", F.coalesce("component", "sid").alias("component")))
@@ -235,11 +251,14 @@ def similar_components(docs: DataFrame, width: int = 5, threshold: float = 0.8,
     mixed = shared.join(member.select("sid", "component"), "sid").groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
     open_keys = shared.join(sized(mixed), "key").join(member.select("sid", "component", "kind", "centre"), "sid")
     open_keys = checkpoint(open_keys)
-    # Queries meet whole groups first, each once, and then the blocks of those. Of a core and another member, the
-    # latter asks.
-    met = open_keys.select("key", "sid", "component", "kind").join(open_keys.select("key", "centre").distinct(), "key").select("sid", "component", "kind", "centre").distinct()
+    # Queries meet whole groups first, each once, and then the blocks of those. A set shares with each one that it links
+    # with, and so with its group, as many keys as it needs; groups that have fewer of its keys are bounded away before
+    # any token moves. Of a core and another member, the latter asks.
+    met = open_keys.select("key", "sid", "component", "kind").join(open_keys.select("key", F.col("centre"), F.col("kind").alias("core")).distinct(), "key")
+    met = met.groupBy("sid", "component", "kind", "centre", "core").agg(F.count("*").alias("common"))
+    met = met.join(sets.select("sid", "need"), "sid").where("common >= need")
     held = checkpoint(member.select("centre", F.col("kind").alias("core"), "block").distinct())
-    asked = met.join(sized(held), "centre").where("core = 0 and kind = 0 or core <> 0 and core <> component").select("sid", "block")
+    asked = met.join(sized(held), ["centre", "core"]).where("core = 0 and kind = 0 or core <> 0 and core <> component").select("sid", "block")
     asked = checkpoint(asked.join(sets.select("sid", "n"), "sid"))
     load = asked.groupBy("block").agg(F.ceil(F.sum("n") / QUERY_TOKENS).cast("int").alias("chunks"))
     queries = asked.join(load, "block").select("block", F.pmod(F.xxhash64("sid"), F.col("chunks")).cast("int").alias("chunk"), "sid").join(sets, "sid")
