@@ -7,8 +7,9 @@ import sqlite3
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tiffin.operators import cep
+from tiffin.operators import cep, quality
 from tiffin.operators.selection import exact_percentiles
 from tiffin.sources import readers, sinks
 from tiffin.streaming import rules, streams
@@ -302,3 +303,31 @@ def test_streamed_rules_are_the_batch_rules_and_leave_no_state(spark, tmp_path):
         for var in ("waiting", "recent"):
             left = spark.read.format("statestore").option("path", str(tmp_path / f"check-{name}")).option("stateVarName", var).load()
             assert {r["key"][0] for r in left.select("key").collect()} <= {"end"}
+
+
+# --- schemas of several versions -------------------------------------------------------------------------------------------
+
+
+def test_backward_compatibility(spark):
+    ddl = T.StructType.fromDDL
+    old = ddl("id int not null, price decimal(10,2), at timestamp, gone string, tags array<int>, place struct<city: string, zip: int>, m map<string, float>")
+    new = ddl("id bigint not null, price decimal(12,2), at timestamp, tags array<bigint>, place struct<city: string, zip: string, lane: string>, m map<string, double>, note string")
+    got = {r["path"]: (r["finding"], r["breaking"]) for r in quality.schema_compatibility(spark, old, new).collect()}
+    assert got == {
+        "id": ("type", False), "price": ("type", False), "gone": ("removed", False), "tags[]": ("type", False),
+        "place.zip": ("type", True), "place.lane": ("added", False), "m{}": ("type", False), "note": ("added", False),
+    }
+    strict = ddl("id int not null, price decimal(10,2) not null, at timestamp, kind string not null")
+    found = lambda **kw: {(r["path"], r["finding"]) for r in quality.schema_compatibility(spark, old, strict, **kw).where("breaking").collect()}
+    assert found() == {("price", "nullable"), ("kind", "added")}
+    assert found(defaults=frozenset(["kind", "price"])) == set()
+    assert quality.schema_compatibility(spark, old, old).count() == 0
+    narrower = {r["path"] for r in quality.schema_compatibility(spark, new, old).where("breaking").collect()}
+    assert narrower == {"id", "price", "tags[]", "place.zip", "m{}"}
+
+
+def test_versions_are_held_against_all_before(spark):
+    ddl = T.StructType.fromDDL
+    versions = [ddl("a int"), ddl("a bigint"), ddl("a int")]
+    assert [tuple(r) for r in quality.incompatible_versions(spark, versions).collect()] == [(1, 2, "a", "type")]
+    assert quality.incompatible_versions(spark, versions[:1]).count() == 0

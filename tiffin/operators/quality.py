@@ -66,14 +66,89 @@ def row_ratio(source: DataFrame, target: DataFrame, least: float) -> DataFrame:
 
 
 def schema_drift(df: DataFrame, expected: T.StructType) -> DataFrame:
-    """Columns that are missing, of another type, or (as a note that breaks nothing) not expected."""
+    """Columns that are missing, of another type, or (as a note that breaks nothing) not expected.
+
+    Another type breaks nothing if its values can be read as the expected one, as those of an int as a bigint.
+    """
     have, want = {f.name: f for f in df.schema}, {f.name: f for f in expected}
     rows = [(n, f.dataType.simpleString(), None, "missing", not f.nullable) for n, f in want.items() if n not in have]
-    rows += [(n, f.dataType.simpleString(), have[n].dataType.simpleString(), "type", True) for n, f in want.items() if n in have and have[n].dataType != f.dataType]
+    rows += [(n, f.dataType.simpleString(), have[n].dataType.simpleString(), "type", not promotes(have[n].dataType, f.dataType)) for n, f in want.items() if n in have and have[n].dataType != f.dataType]
     rows += [(n, None, f.dataType.simpleString(), "extra", False) for n, f in have.items() if n not in want]
     return df.sparkSession.createDataFrame(rows, "column string, expected string, found string, finding string, breaking boolean")
 
 
+_WIDER = [T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType]
+
+
+def promotes(written: T.DataType, read: T.DataType) -> bool:
+    """Whether values of one plain type can be read as another without loss of range: equal or wider numbers, text as bytes."""
+    if written == read or {type(written), type(read)} == {T.StringType, T.BinaryType}:
+        return True
+    if isinstance(written, T.DecimalType) and isinstance(read, T.DecimalType):
+        return read.scale >= written.scale and read.precision - read.scale >= written.precision - written.scale
+    if type(written) in _WIDER and type(read) in _WIDER:
+        return _WIDER.index(type(written)) <= _WIDER.index(type(read))
+    return False
+
+
+def schema_compatibility(spark: SparkSession, written: T.StructType, read: T.StructType, defaults: frozenset[str] = frozenset()) -> DataFrame:
+    """Whether data of one schema can be read by another, later one (BACKWARD): a row for each field that differs.
+
+    A field that only the reader has must be nullable or have a default (`defaults` names paths such as a.b); one that
+    only the data has is skipped; types may widen; a field that may be null in the data must be so for the reader, or
+    have a default. Structs, arrays and maps are compared inside: `[]` stands for elements, `{}` for values.
+    """
+    rows: list[tuple] = []
+
+    def note(path: str, w: T.DataType | None, r: T.DataType | None, finding: str, breaking: bool) -> None:
+        rows.append((path, w and w.simpleString(), r and r.simpleString(), finding, breaking))
+
+    def value(path: str, w: T.DataType, r: T.DataType) -> None:
+        if isinstance(w, T.StructType) and isinstance(r, T.StructType):
+            struct(f"{path}.", w, r)
+        elif isinstance(w, T.ArrayType) and isinstance(r, T.ArrayType):
+            if w.containsNull and not r.containsNull:
+                note(f"{path}[]", w.elementType, r.elementType, "nullable", True)
+            value(f"{path}[]", w.elementType, r.elementType)
+        elif isinstance(w, T.MapType) and isinstance(r, T.MapType):
+            if w.valueContainsNull and not r.valueContainsNull:
+                note(f"{path}{{}}", w.valueType, r.valueType, "nullable", True)
+            value(f"{path}{{key}}", w.keyType, r.keyType)
+            value(f"{path}{{}}", w.valueType, r.valueType)
+        elif w != r:
+            note(path, w, r, "type", not promotes(w, r))
+
+    def struct(at: str, w: T.StructType, r: T.StructType) -> None:
+        have, want = {f.name: f for f in w}, {f.name: f for f in r}
+        for name, f in want.items():
+            path = f"{at}{name}"
+            if name not in have:
+                note(path, None, f.dataType, "added", not (f.nullable or path in defaults))
+                continue
+            if have[name].nullable and not f.nullable:
+                note(path, have[name].dataType, f.dataType, "nullable", path not in defaults)
+            value(path, have[name].dataType, f.dataType)
+        for name in have.keys() - want.keys():
+            note(f"{at}{name}", have[name].dataType, None, "removed", False)
+
+    struct("", written, read)
+    return spark.createDataFrame(sorted(rows, key=str), "path string, written string, read string, finding string, breaking boolean")
+
+
+def incompatible_versions(spark: SparkSession, versions: list[T.StructType], defaults: frozenset[str] = frozenset()) -> DataFrame:
+    """Breaking differences of each version, from the first on, to every one before it, by the numbers of both."""
+    out = None
+    for i, new in enumerate(versions):
+        for j in range(i):
+            found = schema_compatibility(spark, versions[j], new, defaults).where("breaking").select(F.lit(j).alias("written_version"), F.lit(i).alias("read_version"), "path", "finding")
+            out = found if out is None else out.union(found)
+    return out if out is not None else spark.createDataFrame([], "written_version int, read_version int, path string, finding string")
+
+
+#: Which status of a delivery may follow which.
+DELIVERY_TRANSITIONS = {"ASSIGNED": ["PICKED_UP", "CANCELLED"], "PICKED_UP": ["DELIVERED", "CANCELLED"], "DELIVERED": [], "CANCELLED": []}
+
+
 def illegal_transitions(changes: DataFrame, key: str, status: str, ts: str, tie: str, legal: dict[str, list[str]] | None = None) -> DataFrame:
     """Changes whose status may not follow the key's status before."""
     w = Window.partitionBy(key).orderBy(ts, tie)

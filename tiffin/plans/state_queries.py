@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tiffin.operators import cep, selection
+from tiffin.operators import cep, quality, selection
 from tiffin.plans import binding as B
 from tiffin.plans.operator_queries import _run, _stream
 from tiffin.plans.queries import _register
@@ -126,3 +126,18 @@ def _(s, d):
     _rocksdb(s)
     e = _stream(s, d).select("event_id", "user_id", "ts", (F.get_json_object("props", "$.k").cast("int") % 3).alias("promo_code"))
     return _run(rules.promo_abuse(e, seconds=36000)).where(f"ts < {_CLOSED}").select("event_id", "user_id", "promo_code")
+
+
+# --- transitions -----------------------------------------------------------------------------------------------------------
+
+_DELIVERY = "case event_id % 4 when 0 then 'ASSIGNED' when 1 then 'PICKED_UP' when 2 then 'DELIVERED' else 'CANCELLED' end"
+
+
+@_register("q_delivery_transitions", f"""select event_id, user_id, previous, status from (
+  select *, lag(status) over (partition by user_id order by ts, event_id) as previous from (select *, {_DELIVERY} as status from events))
+where previous is not null and previous <> status
+  and not ((previous = 'ASSIGNED' and status in ('PICKED_UP', 'CANCELLED')) or (previous = 'PICKED_UP' and status in ('DELIVERED', 'CANCELLED')))""")
+def _(s, d):
+    """Delivery events whose status may not follow the one before."""
+    e = T(s, d, "events").withColumn("status", F.expr(_DELIVERY))
+    return quality.illegal_transitions(e, "user_id", "status", "ts", "event_id", quality.DELIVERY_TRANSITIONS).select("event_id", "user_id", "previous", "status")
