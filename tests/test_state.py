@@ -9,9 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tiffin.operators import cep, quality
+from tiffin.operators import cep, quality, rollup
 from tiffin.operators.selection import exact_percentiles
-from tiffin.sources import readers, sinks
+from tiffin.sources import readers, segments, sinks
 from tiffin.streaming import rules, streams
 
 AT = datetime.datetime(2024, 1, 1, 10)
@@ -331,3 +331,54 @@ def test_versions_are_held_against_all_before(spark):
     versions = [ddl("a int"), ddl("a bigint"), ddl("a int")]
     assert [tuple(r) for r in quality.incompatible_versions(spark, versions).collect()] == [(1, 2, "a", "type")]
     assert quality.incompatible_versions(spark, versions[:1]).count() == 0
+
+
+# --- epochs and segments -----------------------------------------------------------------------------------------------------
+
+
+def _partial(rows):
+    return rollup.rollup(rows, "ts", ["dt", "city"], sums={"total": "v"}, thetas={"users": "u"}, hlls={"hll": "u"}, quantiles={"kll": "v"})
+
+
+def test_epochs_and_segments_are_the_roll_up_of_all_rows(spark, tmp_path):
+    rows = spark.range(4000).selectExpr("id", "timestamp_seconds(1704067200 + id * 45) as ts", "cast(id % 3 as string) as city", "cast(id % 97 as string) as u", "cast(id % 1000 as double) as v")
+    rows = rows.withColumn("dt", F.date_format("ts", "yyyy-MM-dd"))
+    merge = segments.merge_rollups(["dt", "city"], sums=["total"], thetas=["users"], hlls=["hll"], quantiles=["kll"])
+    table = segments.SegmentTable(spark, str(tmp_path / "t"), merge, "dt", ("city",), 300)
+    read = lambda df: sorted(map(tuple, df.select("time", "dt", "city", "count", "total", F.theta_sketch_estimate("users")).collect()), key=str)
+    with pytest.raises(ValueError, match="no epoch"):
+        table.read()
+    table.compact()
+    for epoch in range(4):
+        table.replace(_partial(rows.where(f"id % 4 = {epoch}")), epoch)
+    table.replace(_partial(rows.where("id % 4 = 3")), 3)  # run again
+    want = read(_partial(rows))
+    assert read(table.read()) == want
+    before = table.read()
+    table.compact()
+    assert table.base() == 3 and table.epochs() == [] and read(table.read()) == want == read(before)
+    table.replace(_partial(rows.where("id % 4 = 2")), 2)  # in the base already
+    table.compact()
+    assert read(table.read()) == want
+    table.replace(_partial(rows.where("id < 10")), 4)  # late rows of old minutes
+    late = read(_partial(rows.union(rows.where("id < 10"))))
+    assert read(table.read()) == late
+    table.compact()
+    table.replace(_partial(rows.where("id = 0")), 5)
+    table.compact()
+    assert table.base() == 5 and not (tmp_path / "t" / "base-3").exists() and (tmp_path / "t" / "base-4").exists()
+    health = {r["dt"]: (r["file_count"], r["record_count"]) for r in sinks.file_health(spark, str(tmp_path / "t" / "base-5"), "dt").select(F.col("dt").cast("string").alias("dt"), "file_count", "record_count").collect()}
+    assert all(-(-n // 300) <= files <= 2 * -(-n // 300) for files, n in health.values()) and max(f for f, _ in health.values()) > 1
+    one = table.read().groupBy().agg(rollup.distinct_hll("hll").alias("u"), rollup.quantile("kll", 0.5).alias("p50")).first()
+    assert abs(one["u"] - 97) <= 3 and abs(one["p50"] - 500) < 30
+
+
+def test_an_epoch_that_broke_off_is_not_read(spark, tmp_path):
+    table = segments.SegmentTable(spark, str(tmp_path), None, "dt")
+    rows = spark.range(10).selectExpr("id", "'a' as dt")
+    table.replace(rows, 0)
+    table.replace(rows, 1)
+    (tmp_path / "epochs" / "epoch=1" / "_SUCCESS").unlink()
+    assert table.read().count() == 10
+    table.replace(rows, 1)
+    assert table.read().count() == 20

@@ -6,12 +6,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tiffin.operators import cep, quality, selection
+from tiffin.operators import cep, quality, rollup, selection
 from tiffin.plans import binding as B
 from tiffin.plans.operator_queries import _run, _stream
 from tiffin.plans.queries import _register
 from tiffin.operators.tables import shared_folder
-from tiffin.sources import sinks
+from tiffin.sources import segments, sinks
 from tiffin.streaming import rules, streams
 
 T = B.table
@@ -141,3 +141,41 @@ def _(s, d):
     """Delivery events whose status may not follow the one before."""
     e = T(s, d, "events").withColumn("status", F.expr(_DELIVERY))
     return quality.illegal_transitions(e, "user_id", "status", "ts", "event_id", quality.DELIVERY_TRANSITIONS).select("event_id", "user_id", "previous", "status")
+
+
+# --- roll-ups in epochs and segments ---------------------------------------------------------------------------------------
+
+
+def _events_rollup(rows):
+    made = rollup.rollup(rows, "ts", ["dt", "event_type"], sums={"total": "value"}, lows={"least": "value"}, highs={"most": "value"}, thetas={"users": "user_id"}, hlls={"users_hll": "user_id"}, quantiles={"value_kll": "value"}, bucket="hour")
+    return made.withColumn("total", F.col("total").cast("double"))
+
+
+_MERGE = segments.merge_rollups(["dt", "event_type"], sums=["total"], lows=["least"], highs=["most"], thetas=["users"], hlls=["users_hll"], quantiles=["value_kll"])
+
+
+@_register("q_rollup_segments", "select date_trunc('hour', ts) as time, strftime(ts, '%Y-%m-%d') as dt, event_type, count(*) as n, round(sum(value), 4) as total, min(value) as least, max(value) as most, count(distinct user_id) as users from events group by 1, 2, 3")
+def _(s, d):
+    """Partial roll-ups in epochs, one of them run again and one of late events, with compactions in between."""
+    events = T(s, d, "events").withColumn("dt", F.date_format("ts", "yyyy-MM-dd"))
+    table = segments.SegmentTable(s, _folder(s, "segments"), _MERGE, "dt", ("event_type",), 500)
+    for epoch, part in enumerate((3, 0, 1, 2)):
+        table.replace(_events_rollup(events.where(f"event_id % 4 = {part}")), epoch)
+        if epoch in (1, 2):
+            table.replace(_events_rollup(events.where(f"event_id % 4 = {part}")), epoch)
+            table.compact()
+    out = table.read().withColumn("users", F.theta_sketch_estimate("users"))
+    return out.select("time", "dt", "event_type", F.col("count").alias("n"), F.round("total", 4).alias("total"), "least", "most", "users")
+
+
+@_register("stream_rolled_files", "select strftime(ts, '%Y-%m-%d') as dt, count(*) as n, true as as_planned from events group by 1")
+def _(s, d):
+    """A stream into epochs of plain rows, rolled into files of a hundred rows at most: rows by day, and whether its files fit."""
+    path = _folder(s, "rolled")
+    table = segments.SegmentTable(s, path, None, "dt", ("event_id",), 100)
+    rows = _stream(s, d).select("event_id", "event_type", "value", F.date_format("ts", "yyyy-MM-dd").alias("dt"))
+    streams.drain(rows, sinks.fan_out({"rolled": table}), f"{path}-checkpoint")
+    table.compact()
+    health = sinks.file_health(s, f"{path}/base-{table.base()}", "dt")
+    least = F.ceil(F.col("record_count") / 100)
+    return health.select(F.col("dt").cast("string").alias("dt"), F.col("record_count").alias("n"), F.col("file_count").between(least, 2 * least).alias("as_planned"))
