@@ -284,3 +284,18 @@ def test_file_sink_appends_partitions(spark, tmp_path):
 def test_velocity_counts_exact_users_on_request(spark):
     rows = spark.createDataFrame([event(i, minutes(0), f"u{i % 3}") for i in range(9)], EVENT)
     assert [r["unique_users"] for r in streams.city_velocity(rows, exact=True).collect()] == [3] == [r["unique_users"] for r in streams.city_velocity(rows).collect()]
+
+
+# --- means that are rounded --------------------------------------------------------------------------------------------
+
+
+def test_rounded_means_do_not_depend_on_the_order_of_rows(spark):
+    """Means whose exact value is a half: the sum of doubles in one of the orders falls below it."""
+    from tiffin.plans import reports
+
+    times = [131 / 3, 136 / 3, 44.75, 143 / 3, 112 / 3, 149 / 3]  # their mean is 44.75, in doubles not in every order
+    assert len({sum(p) / 6 for p in itertools.permutations(times)}) > 1
+    schema = "metric_date string, city_name string, total_deliveries long, completed_deliveries long, avg_total_delivery_time double, sla_breach_count long, total_delivery_cost double, avg_delivery_rating double"
+    rows = [(str(k), "c", 1, 1, t, 0, 1.0, 4.0) for k, p in enumerate(itertools.permutations(times)) for t in p]
+    got = reports.delivery_daily(spark.createDataFrame(rows, schema).coalesce(1)).collect()
+    assert {r["avg_delivery_min"] for r in got} == {44.8}

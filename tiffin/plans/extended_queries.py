@@ -121,7 +121,11 @@ def _(s, d):
     e = T(s, d, "events")
     day = e.groupBy("event_type", F.to_date("ts").alias("day")).agg(F.hll_sketch_agg("user_id", 12).alias("h"))
     merged = day.groupBy("event_type").agg(R.distinct_hll("h").alias("hll"))
-    out = e.groupBy("event_type").agg(F.count_distinct("user_id").alias("users"), F.approx_count_distinct("user_id", 0.02).alias("about")).join(merged, "event_type")
+    # Apart from the exact count: in one aggregation every pair of type and user would carry the registers of the estimate.
+    about = e.groupBy("event_type").agg(F.approx_count_distinct("user_id", 0.02).alias("about"))
+    out = e.groupBy("event_type").agg(F.count_distinct("user_id").alias("users"))
+    for more in (about, merged):
+        out = out.join(more.withColumnRenamed("event_type", "_type"), F.col("event_type").eqNullSafe(F.col("_type"))).drop("_type")
     close = lambda c: F.abs(F.col(c) - F.col("users")) <= F.col("users") * 0.1 + 1
     return out.select("event_type", "users", close("about").alias("approx_close"), close("hll").alias("hll_close"))
 

@@ -12,6 +12,16 @@ def _day(as_of: str, back: int = 0):
     return F.date_sub(F.lit(as_of).cast("date"), back)
 
 
+def _mean(value: str):
+    """A mean that does not depend on the order of the rows, as sums of doubles do: of decimals of twelve places."""
+    return F.avg(F.col(value).cast("decimal(24,12)"))
+
+
+def _rounded(value, places: int):
+    """Rounded half up, where a value within 1e-9 of a half is that half: what double or decimal division lost is no matter."""
+    return F.round(F.round(value, 9), places).cast("double")
+
+
 def city_days(daily: DataFrame) -> DataFrame:
     """The daily metrics by city."""
     total = ("total_orders", "completed_orders", "gross_merchandise_value", "net_revenue", "total_discount_given", "platform_commission", "unique_customers", "new_customers", "active_restaurants", "active_riders", "sla_breach_count", "pro_member_gmv")
@@ -96,11 +106,12 @@ def city_scorecard(daily: DataFrame, as_of: str) -> DataFrame:
 def delivery_hourly(delivery: DataFrame, as_of: str) -> DataFrame:
     """A day's hourly deliveries by zone against the same hour of the day before and of the week before, by city."""
     rows = delivery.where(F.col("metric_date").between(_day(as_of, 7), _day(as_of)))
-    hours = rows.where(F.col("metric_date") < _day(as_of)).groupBy("metric_date", "metric_hour", "city_id").agg(F.sum("total_deliveries").alias("n"), F.avg("avg_total_delivery_time").alias("t"), F.avg("sla_breach_rate").alias("b"))
+    hours = rows.where(F.col("metric_date") < _day(as_of)).groupBy("metric_date", "metric_hour", "city_id").agg(F.sum("total_deliveries").alias("n"), _mean("avg_total_delivery_time").alias("t"), _mean("sla_breach_rate").alias("b"))
     before = F.col("metric_date") == _day(as_of, 1)
-    base = hours.groupBy("metric_hour", "city_id").agg(*(F.max(F.when(before, F.col(c))).alias(f"{c}_prev") for c in "ntb"), F.avg("n").alias("n_week"), F.avg("t").alias("t_week"))
+    base = hours.groupBy("metric_hour", "city_id").agg(*(F.max(F.when(before, F.col(c))).alias(f"{c}_prev") for c in "ntb"), F.avg("n").alias("n_week"), _mean("t").alias("t_week"))
     out = rows.where(F.col("metric_date") == _day(as_of)).join(base, ["metric_hour", "city_id"], "left")
     rate = F.col("sla_breach_rate")
+    time, share = (F.col(c).cast("decimal(24,12)") for c in ("avg_total_delivery_time", "sla_breach_rate"))
     return out.select(
         "metric_date",
         "metric_hour",
@@ -108,19 +119,19 @@ def delivery_hourly(delivery: DataFrame, as_of: str) -> DataFrame:
         "zone_name",
         "total_deliveries",
         "completed_deliveries",
-        F.round("avg_total_delivery_time", 1).alias("avg_delivery_min"),
-        F.round(rate * 100, 2).alias("sla_breach_pct"),
+        _rounded(time, 1).alias("avg_delivery_min"),
+        _rounded(share * 100, 2).alias("sla_breach_pct"),
         growth("total_deliveries", "n_prev", 1).alias("deliveries_dod_pct"),
-        F.round(F.col("avg_total_delivery_time") - F.col("t_prev"), 1).alias("delivery_time_dod_delta"),
-        F.round((rate - F.col("b_prev")) * 100, 2).alias("sla_breach_dod_delta_pp"),
+        _rounded(time - F.col("t_prev"), 1).alias("delivery_time_dod_delta"),
+        _rounded((share - F.col("b_prev")) * 100, 2).alias("sla_breach_dod_delta_pp"),
         growth("total_deliveries", "n_week", 1).alias("deliveries_vs_weekly_pct"),
-        F.round(F.col("avg_total_delivery_time") - F.col("t_week"), 1).alias("delivery_time_vs_weekly_delta"),
+        _rounded(time - F.col("t_week"), 1).alias("delivery_time_vs_weekly_delta"),
         ladder((rate > 0.2, "CRITICAL_SLA"), (rate > 0.15, "HIGH_SLA"), (F.col("avg_total_delivery_time") > 45, "SLOW_DELIVERY"), otherwise="NORMAL").alias("ops_alert"),
     )
 
 
 def delivery_daily(delivery: DataFrame) -> DataFrame:
-    out = delivery.groupBy("metric_date", "city_name").agg(F.sum("total_deliveries").alias("total_deliveries"), F.sum("completed_deliveries").alias("completed_deliveries"), F.round(F.avg("avg_total_delivery_time"), 1).alias("avg_delivery_min"), F.sum("sla_breach_count").alias("b"), F.sum("total_delivery_cost").alias("c"), F.round(F.avg("avg_delivery_rating"), 2).alias("avg_rating"))
+    out = delivery.groupBy("metric_date", "city_name").agg(F.sum("total_deliveries").alias("total_deliveries"), F.sum("completed_deliveries").alias("completed_deliveries"), _rounded(_mean("avg_total_delivery_time"), 1).alias("avg_delivery_min"), F.sum("sla_breach_count").alias("b"), F.sum("total_delivery_cost").alias("c"), _rounded(_mean("avg_delivery_rating"), 2).alias("avg_rating"))
     return out.withColumns({"overall_sla_breach_pct": pct("b", "total_deliveries"), "cost_per_delivery": ratio("c", "completed_deliveries", 2)}).drop("b", "c")
 
 

@@ -1,18 +1,17 @@
 """Keyed rules over streams of events, on transformWithState: rapid fire, promotion abuse, impossible travel.
 
-Events wait in a key's list state until the watermark has passed them, and an event-time timer then lets them through in
-order, so each rule sees the same sequence as its batch form in tiffin.operators.cep, however late or mixed the events
-came. What a rule must still know goes with a second timer once nothing can look back to it; then the key has no
-state at all. Needs the RocksDB state store.
+Events wait in a key's list state until the watermark has passed them; an event-time timer then lets all of those through
+in order, so each rule sees the same sequence as its batch form in tiffin.operators.cep, however late or mixed the events
+came. A key has one timer for each batch that brings it events, and each call takes a few state operations, whatever the
+number of its events. What a rule must still know goes with another timer once nothing can look back to it; then the key
+has no state at all. Needs the RocksDB state store.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
@@ -39,45 +38,39 @@ class _InOrder(StatefulProcessor):
     def _timer(self, micros: int) -> None:
         self.handle.registerTimer(-(-micros // 1000))  # the first millisecond that is not before it
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803  Spark's names
-        fresh = [tuple(r) for f in rows for r in f[self.names].astype(object).where(f[self.names].notna(), None).itertuples(index=False)]
-        self.waiting.appendList([_plain(r) for r in fresh])
-        for at in {-(-r[0] // 1000) for r in fresh}:
-            self.handle.registerTimer(int(at))
-        yield pd.DataFrame()
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        now = expiredTimerInfo.getExpiryTimeInMs() * 1000  # the watermark has passed it, so all rows up to here are in
-        waiting = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
-        recent = [tuple(r) for r in self.recent.get()] if self.recent.exists() else []
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803  Spark's names
+        fresh = [tuple(r[c] for c in self.names) for r in rows]
+        self.waiting.appendList(fresh)
+        self._timer(min(r[0] for r in fresh))  # the least of all that wait has a timer, from this batch or from another
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
+        now = timerValues.getCurrentWatermarkInMs() * 1000  # all rows up to here are in, later ones with them are dropped
+        waiting, recent = [tuple(r) for r in self.waiting.get()], [tuple(r) for r in self.recent.get()]
         due, later = sorted((r for r in waiting if r[0] <= now), key=lambda r: r[:2]), [r for r in waiting if r[0] > now]
-        out = []
-        for row in due:
-            back = recent[-self.lag] if len(recent) >= self.lag else None
-            out.append((*row, *(back[self.names.index(c)] if back else None for c in self.prior)))
-            recent = [*recent, row][-self.lag :]
-        kept = [r for r in recent if r[0] + self.reach >= now]
+        before, out, made = [*recent, *due], [], Row(*self.names, *self.prior.values())
+        back = [self.names.index(c) for c in self.prior]
+        for i, row in enumerate(due, len(recent) - self.lag):
+            out.append(made(*row, *(before[i][c] if i >= 0 else None for c in back)))
+        kept = [r for r in before[-self.lag :] if r[0] + self.reach >= now]
         if due:
             _put(self.waiting, later)
+            if later:
+                self._timer(min(r[0] for r in later))
         if due or len(kept) < len(recent):
             _put(self.recent, kept)
             if kept:
                 self._timer(kept[-1][0] + self.reach + 1000)
-        if out:
-            yield pd.DataFrame(out, columns=[*self.names, *self.prior.values()])
+        return iter(out)
 
     def close(self) -> None:
         pass
 
 
-def _plain(row: tuple) -> tuple:
-    return tuple(x.item() if isinstance(x, np.generic) else x for x in row)
-
-
 def _put(state, rows: list[tuple]) -> None:
     if rows:
         state.put(rows)
-    elif state.exists():
+    else:
         state.clear()
 
 
@@ -95,7 +88,7 @@ def with_earlier(events: DataFrame, keys: list[str], ts: str, order: str, column
     grouped = rows.groupBy(*(f"rule_key{i}" for i in range(len(keys))))
     rule = _InOrder(held, schema, lag, int(seconds * 1_000_000), prior)
     # The key's columns are among `columns`, so the result need not repeat them.
-    return grouped.transformWithStateInPandas(rule, T.StructType([*schema.fields, *back]), "Append", "EventTime")
+    return grouped.transformWithState(rule, T.StructType([*schema.fields, *back]), "Append", "EventTime")
 
 
 def look_back_rule(events: DataFrame, keys: list[str], ts: str, order: str, seconds: float, threshold: int = 4, delay: str = "30 seconds") -> DataFrame:
