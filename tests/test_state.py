@@ -305,6 +305,40 @@ def test_streamed_rules_are_the_batch_rules_and_leave_no_state(spark, tmp_path):
             assert {r["key"][0] for r in left.select("key").collect()} <= {"end"}
 
 
+def test_rules_by_windows_are_the_batch_rules(spark, tmp_path):
+    """Windows of an hour and of the rule's own length, in three batches: runs that cross a window's edge are found once."""
+    rng = random.Random(11)
+    schema = "event_id long, user_id string, ts timestamp, promo_code string, latitude double, longitude double"
+    rows = [(i, rng.choice(["u", "v", None]), AT + datetime.timedelta(seconds=15 * i + rng.choice([0, 0, 0.25])), rng.choice(["p", "q", None]), rng.uniform(-80, 80), rng.uniform(-170, 170)) for i in range(1200)]
+    end = [(9999, "end", AT + datetime.timedelta(days=2), "p", 0.0, 0.0)]
+    whole = spark.createDataFrame(rows, schema)
+    cases = {"rapid": (rules.rapid_fire, cep.rapid_fire(whole)), "promo": (rules.promo_abuse, cep.promo_abuse(whole)), "travel": (rules.impossible_travel, cep.impossible_travel(whole))}
+    for (name, (rule, batch)), every in itertools.product(cases.items(), (1, 3600)):
+        src, out = str(tmp_path / f"{name}-{every}"), []
+        for b in (rows[:500], rows[500:], end):
+            spark.createDataFrame(b, schema).repartition(2).write.mode("append").parquet(src)
+            stream = rule(spark.readStream.schema(schema).parquet(src), delay="2 minutes", every=every)
+            streams.drain(stream, lambda df, _: out.extend(r["event_id"] for r in df.collect()), f"{src}-check")  # noqa: B023
+        want = sorted(r["event_id"] for r in batch.collect())
+        assert len(want) > 20 and sorted(out) == want
+
+
+def test_streamed_rule_queries_make_no_call_for_each_key(spark, monkeypatch):
+    """The queries' rules are one aggregation in the JVM, whatever the number of users."""
+    from tiffin.plans import queries, state_queries
+
+    plans = []
+
+    def kept(df):
+        plans.append(df._jdf.queryExecution().analyzed().toString())
+        return spark.createDataFrame([], df.schema)
+
+    monkeypatch.setattr(state_queries, "_run", kept)
+    for name in ("stream_impossible_travel",):
+        queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert len(plans) == 1 and all("TransformWithState" not in p and "Aggregate" in p for p in plans)
+
+
 # --- schemas of several versions -------------------------------------------------------------------------------------------
 
 

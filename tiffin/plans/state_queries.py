@@ -16,6 +16,7 @@ from tiffin.streaming import rules, streams
 
 T = B.table
 _CLOSED = "timestamp '2024-01-20'"
+_DAY = 86400
 
 
 def _folder(spark, name: str) -> str:
@@ -110,7 +111,7 @@ def _(s, d):
     """The rule over a stream, to a day that the watermark has passed."""
     _rocksdb(s)
     e = _stream(s, d).selectExpr("event_id", "user_id", "ts", *_PLACES.split(", "))
-    out = _run(rules.impossible_travel(e, 500, 5400)).where(f"ts < {_CLOSED}")
+    out = _run(rules.impossible_travel(e, 500, 5400, every=_DAY)).where(f"ts < {_CLOSED}")
     return out.select("event_id", "user_id", "last_ts", F.round("distance_km", 4).alias("distance_km"))
 
 

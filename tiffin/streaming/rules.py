@@ -5,6 +5,10 @@ in order, so each rule sees the same sequence as its batch form in tiffin.operat
 came. A key has one timer for each batch that brings it events, and each call takes a few state operations, whatever the
 number of its events. What a rule must still know goes with another timer once nothing can look back to it; then the key
 has no state at all. Needs the RocksDB state store.
+
+That takes some calls between Python and the JVM for every key of a batch. With `every`, a number of seconds, the rules
+let events through by windows of that length instead, each with what it looks back to, as a windowed aggregation in the
+JVM: for many keys, where an alert may wait for its window's end.
 """
 
 from __future__ import annotations
@@ -91,27 +95,47 @@ def with_earlier(events: DataFrame, keys: list[str], ts: str, order: str, column
     return grouped.transformWithState(rule, T.StructType([*schema.fields, *back]), "Append", "EventTime")
 
 
-def look_back_rule(events: DataFrame, keys: list[str], ts: str, order: str, seconds: float, threshold: int = 4, delay: str = "30 seconds") -> DataFrame:
+def with_earlier_by_window(events: DataFrame, keys: list[str], ts: str, order: str, columns: list[str], lag: int, seconds: float, delay: str, prior: dict[str, str], every: float) -> DataFrame:
+    """with_earlier(), by windows of `every` seconds that begin `seconds` early, so that each event's look-back is in its window.
+
+    An event is given once, in the window of which it is not look-back, when the watermark passes the window's end. Columns
+    must be of types that can be sorted.
+    """
+    reach, step = int(seconds * 1_000_000), int(max(every, seconds) * 1_000_000)
+    window = F.window(ts, f"{step + reach} microseconds", f"{step} microseconds", f"{-reach % step} microseconds")
+    held = [F.unix_micros(ts).alias("rule_at"), F.col(order).alias("rule_order"), *columns]
+    rows = events.where(F.col(ts).isNotNull()).withWatermark(ts, delay)
+    rows = rows.groupBy(window.alias("rule_window"), *(F.col(k).cast("string").alias(f"rule_key{i}") for i, k in enumerate(keys))).agg(F.sort_array(F.collect_list(F.struct(*held))).alias("rows"))
+    rows = rows.select("rows", (F.unix_micros("rule_window.start") + reach).alias("own"))
+    rows = rows.select("own", F.explode(F.transform("rows", lambda row, i: F.struct(row.alias("row"), F.get("rows", i - lag).alias("before")))).alias("r"))
+    return rows.where("r.row.rule_at >= own").select("r.row.*", *(F.col(f"r.before.{c}").alias(n) for c, n in prior.items()))
+
+
+def _earlier(events: DataFrame, *rule, every: float | None) -> DataFrame:
+    return with_earlier(events, *rule) if every is None else with_earlier_by_window(events, *rule, every)
+
+
+def look_back_rule(events: DataFrame, keys: list[str], ts: str, order: str, seconds: float, threshold: int = 4, delay: str = "30 seconds", every: float | None = None) -> DataFrame:
     """The batch rule over a stream: events that end a run of `threshold` events of their key within `seconds`."""
     columns = [c for c in events.columns if c not in (ts, order)]
-    out = with_earlier(events, keys, ts, order, columns, threshold - 1, seconds, delay, {"rule_at": "rule_start"})
+    out = _earlier(events, keys, ts, order, columns, threshold - 1, seconds, delay, {"rule_at": "rule_start"}, every=every)
     out = out.where(F.col("rule_at") - F.col("rule_start") <= int(seconds * 1_000_000))
     return out.select(F.timestamp_micros("rule_at").alias(ts), F.col("rule_order").alias(order), *columns, F.timestamp_micros("rule_start").alias("run_start"))
 
 
-def rapid_fire(events: DataFrame, user: str = "user_id", ts: str = "ts", order: str = "event_id", seconds: float = 120, delay: str = "30 seconds") -> DataFrame:
-    return look_back_rule(events, [user], ts, order, seconds, 4, delay)
+def rapid_fire(events: DataFrame, user: str = "user_id", ts: str = "ts", order: str = "event_id", seconds: float = 120, delay: str = "30 seconds", every: float | None = None) -> DataFrame:
+    return look_back_rule(events, [user], ts, order, seconds, 4, delay, every)
 
 
-def promo_abuse(events: DataFrame, user: str = "user_id", promo: str = "promo_code", ts: str = "ts", order: str = "event_id", seconds: float = 600, delay: str = "30 seconds") -> DataFrame:
+def promo_abuse(events: DataFrame, user: str = "user_id", promo: str = "promo_code", ts: str = "ts", order: str = "event_id", seconds: float = 600, delay: str = "30 seconds", every: float | None = None) -> DataFrame:
     """Four uses of one promotion by one user within ten minutes."""
-    return look_back_rule(events.where(F.col(promo).isNotNull()), [user, promo], ts, order, seconds, 4, delay)
+    return look_back_rule(events.where(F.col(promo).isNotNull()), [user, promo], ts, order, seconds, 4, delay, every)
 
 
-def impossible_travel(events: DataFrame, km: float = 500, seconds: float = 300, delay: str = "30 seconds") -> DataFrame:
+def impossible_travel(events: DataFrame, km: float = 500, seconds: float = 300, delay: str = "30 seconds", every: float | None = None) -> DataFrame:
     """Events (user_id, ts, latitude, longitude, event_id) more than `km` from the user's last one within `seconds`."""
     prior = {"rule_at": "rule_last", "latitude": "last_latitude", "longitude": "last_longitude"}
-    out = with_earlier(events, ["user_id"], "ts", "event_id", ["user_id", "latitude", "longitude"], 1, seconds, delay, prior)
+    out = _earlier(events, ["user_id"], "ts", "event_id", ["user_id", "latitude", "longitude"], 1, seconds, delay, prior, every=every)
     out = out.withColumn("distance_km", haversine_km(F.col("last_latitude"), F.col("last_longitude"), F.col("latitude"), F.col("longitude")))
     out = out.where((F.col("distance_km") > km) & (F.col("rule_at") - F.col("rule_last") <= int(seconds * 1_000_000)))
     return out.select("user_id", F.timestamp_micros("rule_at").alias("ts"), "latitude", "longitude", F.col("rule_order").alias("event_id"), F.timestamp_micros("rule_last").alias("last_ts"), "last_latitude", "last_longitude", "distance_km")
