@@ -126,7 +126,7 @@ def _(s, d):
 def _(s, d):
     _rocksdb(s)
     e = _stream(s, d).select("event_id", "user_id", "ts", (F.get_json_object("props", "$.k").cast("int") % 3).alias("promo_code"))
-    return _run(rules.promo_abuse(e, seconds=36000)).where(f"ts < {_CLOSED}").select("event_id", "user_id", "promo_code")
+    return _run(rules.promo_abuse(e, seconds=36000, every=_DAY)).where(f"ts < {_CLOSED}").select("event_id", "user_id", "promo_code")
 
 
 # --- transitions -----------------------------------------------------------------------------------------------------------
