@@ -334,9 +334,9 @@ def test_streamed_rule_queries_make_no_call_for_each_key(spark, monkeypatch):
         return spark.createDataFrame([], df.schema)
 
     monkeypatch.setattr(state_queries, "_run", kept)
-    for name in ("stream_impossible_travel", "stream_promo_abuse"):
+    for name in ("stream_impossible_travel", "stream_rapid_fire", "stream_promo_abuse"):
         queries.QUERIES[name](spark, "/root/testdata/sf0.001")
-    assert len(plans) == 2 and all("TransformWithState" not in p and "Aggregate" in p for p in plans)
+    assert len(plans) == 3 and all("TransformWithState" not in p and "Aggregate" in p for p in plans)
 
 
 # --- schemas of several versions -------------------------------------------------------------------------------------------

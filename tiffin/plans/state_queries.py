@@ -118,7 +118,7 @@ def _(s, d):
 @_register("stream_rapid_fire", f"select event_id, user_id, t as run_start from (select *, lag(ts, 3) over (partition by user_id order by ts, event_id) as t from events) where ts - t <= interval 120 minutes and ts < {_CLOSED}")
 def _(s, d):
     _rocksdb(s)
-    out = _run(rules.rapid_fire(_stream(s, d).select("event_id", "user_id", "ts"), seconds=7200)).where(f"ts < {_CLOSED}")
+    out = _run(rules.rapid_fire(_stream(s, d).select("event_id", "user_id", "ts"), seconds=7200, every=_DAY)).where(f"ts < {_CLOSED}")
     return out.select("event_id", "user_id", "run_start")
 
 
