@@ -299,3 +299,14 @@ def test_rounded_means_do_not_depend_on_the_order_of_rows(spark):
     rows = [(str(k), "c", 1, 1, t, 0, 1.0, 4.0) for k, p in enumerate(itertools.permutations(times)) for t in p]
     got = reports.delivery_daily(spark.createDataFrame(rows, schema).coalesce(1)).collect()
     assert {r["avg_delivery_min"] for r in got} == {44.8}
+
+
+def test_hourly_differences_round_as_doubles(spark):
+    """43.25 - 44.3 is a half in decimals; in doubles, as in the query's SQL, it lies above -1.05."""
+    from tiffin.plans import reports
+
+    schema = "metric_date string, metric_hour int, city_id int, city_name string, zone_name string, total_deliveries long, completed_deliveries long, avg_total_delivery_time double, sla_breach_rate double"
+    rows = [("2001-06-28", 1, 1, "c", "z", 8, 5, 43.25, 0.4), *(("2001-06-27", 1, 1, "c", z, 25, 5, t, 0.5) for z, t in (("z", 44.2), ("y", 44.4)))]
+    df = spark.createDataFrame(rows, schema).withColumn("metric_date", F.col("metric_date").cast("date"))
+    got = [r.asDict() for r in reports.delivery_hourly(df, "2001-06-28").collect()]
+    assert [(r["avg_delivery_min"], r["delivery_time_dod_delta"], r["sla_breach_dod_delta_pp"], r["deliveries_dod_pct"]) for r in got] == [(43.3, -1.0, -10.0, -84.0)]

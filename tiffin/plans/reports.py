@@ -103,15 +103,29 @@ def city_scorecard(daily: DataFrame, as_of: str) -> DataFrame:
     )
 
 
+def _mean_double(value: str):
+    """The mean of doubles below 10^8, as a double: added up as decimals that hold all their digits, in whatever order."""
+    return F.avg(F.col(value).cast("decimal(28,20)")).cast("double")
+
+
+def _rounded_double(value, places: int):
+    """Rounded as SQL engines round doubles: the product with the power of ten, half away from zero, with the value's sign."""
+    size = F.round(F.abs(value) * 10.0**places) / 10.0**places
+    return F.when(value < 0, -size).otherwise(size)
+
+
 def delivery_hourly(delivery: DataFrame, as_of: str) -> DataFrame:
-    """A day's hourly deliveries by zone against the same hour of the day before and of the week before, by city."""
+    """A day's hourly deliveries by zone against the same hour of the day before and of the week before, by city.
+
+    Differences are taken and rounded as doubles, so one that is a half in decimals falls to where its double lies.
+    """
     rows = delivery.where(F.col("metric_date").between(_day(as_of, 7), _day(as_of)))
-    hours = rows.where(F.col("metric_date") < _day(as_of)).groupBy("metric_date", "metric_hour", "city_id").agg(F.sum("total_deliveries").alias("n"), _mean("avg_total_delivery_time").alias("t"), _mean("sla_breach_rate").alias("b"))
+    hours = rows.where(F.col("metric_date") < _day(as_of)).groupBy("metric_date", "metric_hour", "city_id").agg(F.sum("total_deliveries").alias("n"), _mean_double("avg_total_delivery_time").alias("t"), _mean_double("sla_breach_rate").alias("b"))
     before = F.col("metric_date") == _day(as_of, 1)
-    base = hours.groupBy("metric_hour", "city_id").agg(*(F.max(F.when(before, F.col(c))).alias(f"{c}_prev") for c in "ntb"), F.avg("n").alias("n_week"), _mean("t").alias("t_week"))
+    base = hours.groupBy("metric_hour", "city_id").agg(*(F.max(F.when(before, F.col(c))).alias(f"{c}_prev") for c in "ntb"), F.avg("n").alias("n_week"), _mean_double("t").alias("t_week"))
     out = rows.where(F.col("metric_date") == _day(as_of)).join(base, ["metric_hour", "city_id"], "left")
-    rate = F.col("sla_breach_rate")
-    time, share = (F.col(c).cast("decimal(24,12)") for c in ("avg_total_delivery_time", "sla_breach_rate"))
+    time, rate, n = F.col("avg_total_delivery_time"), F.col("sla_breach_rate"), F.col("total_deliveries")
+    change = lambda then: _rounded_double(ratio(n - F.col(then), then) * 100, 1)
     return out.select(
         "metric_date",
         "metric_hour",
@@ -119,14 +133,14 @@ def delivery_hourly(delivery: DataFrame, as_of: str) -> DataFrame:
         "zone_name",
         "total_deliveries",
         "completed_deliveries",
-        _rounded(time, 1).alias("avg_delivery_min"),
-        _rounded(share * 100, 2).alias("sla_breach_pct"),
-        growth("total_deliveries", "n_prev", 1).alias("deliveries_dod_pct"),
-        _rounded(time - F.col("t_prev"), 1).alias("delivery_time_dod_delta"),
-        _rounded((share - F.col("b_prev")) * 100, 2).alias("sla_breach_dod_delta_pp"),
-        growth("total_deliveries", "n_week", 1).alias("deliveries_vs_weekly_pct"),
-        _rounded(time - F.col("t_week"), 1).alias("delivery_time_vs_weekly_delta"),
-        ladder((rate > 0.2, "CRITICAL_SLA"), (rate > 0.15, "HIGH_SLA"), (F.col("avg_total_delivery_time") > 45, "SLOW_DELIVERY"), otherwise="NORMAL").alias("ops_alert"),
+        _rounded_double(time, 1).alias("avg_delivery_min"),
+        _rounded_double(rate * 100, 2).alias("sla_breach_pct"),
+        change("n_prev").alias("deliveries_dod_pct"),
+        _rounded_double(time - F.col("t_prev"), 1).alias("delivery_time_dod_delta"),
+        _rounded_double((rate - F.col("b_prev")) * 100, 2).alias("sla_breach_dod_delta_pp"),
+        change("n_week").alias("deliveries_vs_weekly_pct"),
+        _rounded_double(time - F.col("t_week"), 1).alias("delivery_time_vs_weekly_delta"),
+        ladder((rate > 0.2, "CRITICAL_SLA"), (rate > 0.15, "HIGH_SLA"), (time > 45, "SLOW_DELIVERY"), otherwise="NORMAL").alias("ops_alert"),
     )
 
 
