@@ -342,6 +342,28 @@ def test_scores_are_brute_force(spark):
         assert x == pytest.approx(want)
 
 
+def test_quality_learns_from_every_labelled_document(spark):
+    """More bad documents than a sample would hold: the threshold leaves as many documents below as there are bad ones."""
+    ids = [i for i in range(8000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    bad = lambda i: i % 10 != 0
+    docs = spark.createDataFrame([(i, ("go! " if bad(i) else "some plain words here ") * 3 + str(i)) for i in ids], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(not bad(i))) for i in ids], "doc_id long, quality int")
+    seen, fit = [], quality._fit
+
+    def kept(rows, *args):
+        seen.append(rows.groupBy("y").count().collect())
+        return fit(rows, *args)
+
+    quality._fit = kept
+    try:
+        model = quality.train(docs, labels)
+    finally:
+        quality._fit = fit
+    assert {r["y"]: r["count"] for r in seen[0]} == {0: sum(map(bad, ids)), 1: sum(not bad(i) for i in ids)}
+    out = quality.score_quality(docs, model).select("doc_id", "predicted").collect()
+    assert all(r["predicted"] == int(not bad(r["doc_id"])) for r in out)
+
+
 def test_quality_threshold_is_the_share_of_all_labels(spark):
     docs, labels, rows = labelled(spark)
     whole = quality.train(docs, labels)

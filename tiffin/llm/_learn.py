@@ -27,6 +27,18 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     return checkpoint(rows.groupBy(id_col, "y", "h").agg(F.min("text").alias("text")).select("text", "y", "h"))
 
 
+def known_labels(labels: DataFrame, label: str, id_col: str = "doc_id") -> DataFrame:
+    """(id, y) of all documents with the label 0 or 1 that are not held out; of several labels the largest."""
+    known = labels.where(F.col(id_col).isNotNull() & F.col(label).isin(0, 1) & ~held_out(id_col))
+    return known.groupBy(id_col).agg(F.max(label).alias("y"))
+
+
+def first_known(known: DataFrame, per_class: int, id_col: str = "doc_id") -> DataFrame:
+    """At most `per_class` rows of known_labels() for each label, the first by a hash of the id."""
+    first = lambda y: known.where(F.col("y") == y).orderBy(F.xxhash64(id_col), id_col).limit(per_class)
+    return first(0).union(first(1))
+
+
 def class_sizes(labels: DataFrame, label: str, id_col: str = "doc_id") -> tuple[int, int]:
     """How many documents that are not held out have label 0 and label 1."""
     known = labels.where(F.col(id_col).isNotNull() & F.col(label).isin(0, 1) & ~held_out(id_col)).groupBy(id_col).agg(F.max(label).alias("y"))
