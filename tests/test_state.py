@@ -6,6 +6,7 @@ import random
 import sqlite3
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -407,6 +408,18 @@ def test_epochs_and_segments_are_the_roll_up_of_all_rows(spark, tmp_path):
     assert abs(one["u"] - 97) <= 3 and abs(one["p50"] - 500) < 30
 
 
+def test_plain_rows_are_planned_without_a_copy(spark, tmp_path, monkeypatch):
+    table = segments.SegmentTable(spark, str(tmp_path), None, "dt", ("id",), 10)
+    table.replace(spark.range(95).selectExpr("id", "cast(id % 2 as string) as dt"), 0)
+    made = []
+    parquet = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **k: made.append(path.rpartition("/")[2]) or parquet(self, path, *a, **k))
+    table.compact()
+    assert made == ["base-0"] and not (tmp_path / "merged-0").exists()
+    assert sorted(r.id for r in table.read().collect()) == list(range(95))
+    assert len(list(tmp_path.glob("base-0/dt=*/*.parquet"))) >= 10
+
+
 def test_an_epoch_that_broke_off_is_not_read(spark, tmp_path):
     table = segments.SegmentTable(spark, str(tmp_path), None, "dt")
     rows = spark.range(10).selectExpr("id", "'a' as dt")

@@ -22,7 +22,7 @@ class SegmentTable:
     """
 
     def __init__(self, spark: SparkSession, path: str, merge: Callable[[DataFrame], DataFrame] | None = None, partition: str = "dt", spread: tuple[str, ...] = (), rows_per_file: int = 5_000_000):
-        self.spark, self.path, self.merge = spark, path, merge or (lambda rows: rows)
+        self.spark, self.path, self.merge = spark, path, merge
         self.partition, self.spread, self.rows_per_file = partition, spread, rows_per_file
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
@@ -57,7 +57,7 @@ class SegmentTable:
     def read(self) -> DataFrame:
         if (parts := self._parts()) is None:
             raise ValueError(f"no epoch is complete in {self.path}")
-        return self.merge(parts)
+        return parts if self.merge is None else self.merge(parts)
 
     def compact(self) -> None:
         """Make a new base of the old one and all epochs; nothing to do without an epoch."""
@@ -66,8 +66,9 @@ class SegmentTable:
             return
         last, rows = epochs[-1], self.read()
         planned = f"{self.path}/merged-{last}"
-        rows.write.mode("overwrite").parquet(planned)
-        rows = self.spark.read.parquet(planned)
+        if self.merge is not None:  # plain rows are planned where they lie
+            rows.write.mode("overwrite").parquet(planned)
+            rows = self.spark.read.parquet(planned)
         need = rows.groupBy(F.col(self.partition).alias("_key")).agg(F.greatest(F.lit(1), F.ceil(F.count("*") / self.rows_per_file)).cast("int").alias("_files"))
         names, kind = rows.columns, rows.schema[self.partition].dataType.simpleString()
         spread = self.spread or tuple(c for c, t in rows.dtypes if not t.startswith("map"))
