@@ -39,3 +39,19 @@ def test_distinct_counts_are_exact(spark, many, name):
     found = con.execute(Q.ORACLE[name])
     at = [[d[0] for d in found.description].index(c) for c in columns]
     assert rows == sorted(repr([norm(r[i]) for i in at]) for r in found.fetchall())
+
+
+@pytest.mark.parametrize("name", ["q_approx_distinct", "q_count_distinct"])
+def test_distinct_ids_of_one_row_group_are_dealt_over_tasks(spark, many, monkeypatch, name):
+    """The scan of a row group is one task; behind it, no task may hold the ids of all its rows."""
+    from tiffin.operators import tables
+
+    folder, con = many
+    monkeypatch.setattr(tables.dealt, "__kwdefaults__", {"rows": 5_000})
+    df = Q.QUERIES[name](spark, folder)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and ", 12)" in plan  # 60,000 rows by 5,000
+    columns = sorted(df.columns)
+    found = con.execute(Q.ORACLE[name])
+    at = [[d[0] for d in found.description].index(c) for c in columns]
+    assert sorted(repr([norm(v) for v in r]) for r in df.select(*columns).collect()) == sorted(repr([norm(r[i]) for i in at]) for r in found.fetchall())

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Rows of a few plain columns that may be broadcast; beyond that a join is shuffled.
 BROADCAST_ROWS = 1_000_000
+#: Rows of a task that holds their different keys.
+DEALT_ROWS = 1_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,6 +33,16 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame, *keys: str, rows: int = DEALT_ROWS) -> DataFrame:
+    """The rows of `df` dealt by a hash of `keys` over at least as many tasks as they need.
+
+    A file's row group is read by one task whatever its size, so that an aggregation right behind the scan would hold
+    all its keys. `keys` should be of many values, such as the row's own id.
+    """
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))
+    return df.repartition(tasks, *keys)
+
+
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """`df` with a broadcast hint if it has at most `rows` rows, else as it is."""
     return F.broadcast(df) if df.count() <= rows else df

@@ -14,6 +14,7 @@ from tiffin.operators import gold as G
 from tiffin.operators import quality as Q
 from tiffin.operators import rollup as R
 from tiffin.operators.joins import not_in
+from tiffin.operators.tables import dealt
 from tiffin.plans import binding as B
 from tiffin.plans.operator_queries import _CITY, _EMA, _placed, scratch
 from tiffin.plans.queries import _RAW, _register, curated
@@ -123,7 +124,7 @@ def _(s, d):
     merged = day.groupBy("event_type").agg(R.distinct_hll("h").alias("hll"))
     # Apart from the exact count: in one aggregation every pair of type and user would carry the registers of the estimate.
     about = e.groupBy("event_type").agg(F.approx_count_distinct("user_id", 0.02).alias("about"))
-    out = e.groupBy("event_type").agg(F.count_distinct("user_id").alias("users"))
+    out = dealt(e.select("event_id", "event_type", "user_id"), "event_id").groupBy("event_type").agg(F.count_distinct("user_id").alias("users"))
     for more in (about, merged):
         out = out.join(more.withColumnRenamed("event_type", "_type"), F.col("event_type").eqNullSafe(F.col("_type"))).drop("_type")
     close = lambda c: F.abs(F.col(c) - F.col("users")) <= F.col("users") * 0.1 + 1

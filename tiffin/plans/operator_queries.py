@@ -12,6 +12,7 @@ from tiffin.operators import cdc, cep
 from tiffin.operators import curated as C
 from tiffin.operators import quality as Q
 from tiffin.operators.joins import not_in
+from tiffin.operators.tables import dealt
 from tiffin.plans import binding as B
 from tiffin.plans.olap import _EVENTS
 from tiffin.plans.queries import _RAW, _register, curated
@@ -77,7 +78,8 @@ def _(s, d):
 
 @_register("q_count_distinct", "select o_orderstatus, count(distinct o_custkey) as users, count(distinct o_custkey) filter (o_totalprice > 100000) as big from orders group by 1")
 def _(s, d):
-    return T(s, d, "orders").groupBy("o_orderstatus").agg(F.count_distinct("o_custkey").alias("users"), F.count_distinct(F.when(F.col("o_totalprice") > 100000, F.col("o_custkey"))).alias("big"))
+    o = dealt(T(s, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"), "o_orderkey")
+    return o.groupBy("o_orderstatus").agg(F.count_distinct("o_custkey").alias("users"), F.count_distinct(F.when(F.col("o_totalprice") > 100000, F.col("o_custkey"))).alias("big"))
 
 
 @_register("q_cond_sum", "select o_orderpriority, sum(case when o_orderstatus = 'F' then 1 else 0 end)::bigint as done, sum(case when o_orderstatus = 'P' then 1 else 0 end)::bigint as lost from orders group by 1")
