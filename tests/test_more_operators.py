@@ -310,3 +310,27 @@ def test_hourly_differences_round_as_doubles(spark):
     df = spark.createDataFrame(rows, schema).withColumn("metric_date", F.col("metric_date").cast("date"))
     got = [r.asDict() for r in reports.delivery_hourly(df, "2001-06-28").collect()]
     assert [(r["avg_delivery_min"], r["delivery_time_dod_delta"], r["sla_breach_dod_delta_pp"], r["deliveries_dod_pct"]) for r in got] == [(43.3, -1.0, -10.0, -84.0)]
+
+
+def test_full_curation_moves_orders_once_to_their_number_and_once_to_their_customer(spark):
+    from tiffin.plans import extended_queries  # noqa: F401  it registers its queries
+    from tiffin.plans import queries as Q
+
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    kept = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        plan = Q.QUERIES["q_curated_full"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(name, kept)
+    moves = [line for line in plan.split("\n") if "Exchange hashpartitioning(" in line]
+    by = lambda key: sum(f"hashpartitioning({key}#" in m for m in moves)
+    assert by("order_id") == 2  # the records of payments and of deliveries, each once
+    assert by("restaurant_id") == 1 and by("user_id") == 1  # snapshots; orders do not move to their restaurants
+    assert by("customer_id") == 2  # orders, and their first times
+
+
+def test_latest_record_of_a_table_of_keys_alone(spark):
+    rows = spark.createDataFrame([(1, 2), (1, 2), (2, 3)], "a long, b long")
+    last = C.latest_by_key(rows, ["a", "b"], ["b"])
+    assert last.columns == ["a", "b"] and sorted(map(tuple, last.collect())) == [(1, 2), (2, 3)]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tiffin.functions import expr as X
+from tiffin.operators.tables import broadcast_if_small
 
 CRITICAL = ("order_id", "customer_id", "restaurant_id", "total_amount", "order_placed_at")
 
@@ -14,12 +15,14 @@ def latest_by_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     """The last row of each key by `order`, larger being later.
 
     max_by combines before the shuffle, unlike a row number over the whole key. Ties are broken by the other
-    columns, so the result does not depend on the partitioning.
+    columns, so the result does not depend on the partitioning. The keys are the grouping's own, so a join on them needs
+    no other shuffle.
     """
     rest = [c for c, t in df.dtypes if c not in keys and c not in order and not t.startswith("map")]
     rank = F.struct(*(F.col(c) for c in order), F.xxhash64(*keys, *rest))
-    best = df.groupBy(*keys).agg(F.max_by(F.struct(*(F.col(c) for c in df.columns)), rank).alias("row"))
-    return best.select("row.*")
+    others = [c for c in df.columns if c not in keys]
+    best = df.groupBy(*keys).agg(F.max_by(F.struct(*(F.col(c) for c in others or keys)), rank).alias("_row"))
+    return best.select(*(F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns))
 
 
 def nth_latest(df: DataFrame, keys: list[str], order: list[str], n: int = 1) -> DataFrame:
@@ -58,13 +61,17 @@ def curate_orders(
     own_items = "items" in orders.columns
     r = restaurants.select("restaurant_id", "restaurant_name", "zone_id", "zone_name", "city_id", "city_name", "commission_rate", "restaurant_rating", *([] if own_items else [F.col("cuisine").alias("cuisine_primary")]))
     u = users.select(F.col("user_id").alias("customer_id"), "is_pro_member", F.col("segment").alias("user_segment"))
-    out = gated.join(r, "restaurant_id", "left").join(u, "customer_id", "left").join(first, "customer_id", "left")
+    out = gated
     if payments is not None:
         out = out.join(payments.select("order_id", F.col("payment_status").alias("final_payment_status")), "order_id", "left")
         given = F.col("payment_status") if "payment_status" in orders.columns else F.lit(None)
         out = out.withColumn("payment_status", F.coalesce("final_payment_status", given))
     if deliveries is not None:
         out = out.join(deliveries.select("order_id", F.col("total_distance_km").alias("delivery_distance_km")), "order_id", "left")
+    # What is known by order comes first, where the latest records lie; then orders move once, to their customers.
+    if snapshots:
+        r = broadcast_if_small(r)
+    out = out.join(r, "restaurant_id", "left").join(u, "customer_id", "left").join(first, "customer_id", "left")
     total, placed = F.col("total_amount"), F.col("order_placed_at")
     plausible = (total > 0) & (total < max_total) & (F.col("item_count") > 0) & (F.col("item_count") <= max_items) & (placed > F.lit(earliest).cast("timestamp"))
     if before is not None:
