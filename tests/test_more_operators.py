@@ -334,3 +334,10 @@ def test_latest_record_of_a_table_of_keys_alone(spark):
     rows = spark.createDataFrame([(1, 2), (1, 2), (2, 3)], "a long, b long")
     last = C.latest_by_key(rows, ["a", "b"], ["b"])
     assert last.columns == ["a", "b"] and sorted(map(tuple, last.collect())) == [(1, 2), (2, 3)]
+
+
+def test_cohorts_sort_twice(spark):
+    """Behind the shuffle to customers: by restaurant and date, and by cuisine."""
+    plan = QS.QUERIES["q_gold_cohorts"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    behind = plan[: plan.index("hashpartitioning(snapshot_date#")]
+    assert behind.count("Window [") == 4 and behind.count("Sort [") == 2

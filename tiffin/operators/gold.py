@@ -276,12 +276,15 @@ def user_cohorts(curated: DataFrame, as_of: str | list[str]) -> DataFrame:
     base = base.agg(F.count("*").alias("n"), F.sum("total_amount").alias("gmv"), F.max("is_pro_member").alias("pro"), F.max("user_segment").alias("segment"))
     rows = base.withColumn("snapshot_date", F.explode(F.array(*(F.lit(d).cast("date") for d in days)))).where(F.col("order_date") <= day)
     keys = ["snapshot_date", "customer_id"]
+    # One sort serves three of the windows, another the fourth and the aggregation; each sort of a task holds its rows.
+    rows = rows.repartition(*keys).sortWithinPartitions(*keys, "restaurant_id", "order_date", "cuisine_primary")
     rows = rows.withColumn("first_order_date", F.min("order_date").over(Window.partitionBy(*keys)))
     rows = rows.withColumn("of_restaurant", F.sum("n").over(Window.partitionBy(*keys, "restaurant_id")))
     rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy(*keys, "restaurant_id").orderBy("order_date", "cuisine_primary")))
     rows = rows.withColumn("of_cuisine", F.sum("n").over(Window.partitionBy(*keys, "cuisine_primary")))
     month = F.floor(F.months_between(F.date_trunc("month", "order_date"), F.date_trunc("month", "first_order_date"))).cast("int")
-    out = rows.withColumn("month_no", month).groupBy(*keys, "first_order_date").agg(
+    out = rows.withColumn("month_no", month).groupBy(*keys).agg(
+        F.min("first_order_date").alias("first_order_date"),
         *(F.max(F.col("month_no") == m).alias(f"has_order_m{m}") for m in (0, 1, 2, 3, 6, 12)),
         F.sum("n").alias("lifetime_order_count"),
         F.sum("gmv").cast("decimal(22,2)").alias("lifetime_gmv"),
